@@ -1,5 +1,5 @@
 """Every query by name, over the sample tables, with the SQL that has to agree."""
 
-from . import reports
+from . import expressions, relations, reports, sources
 
-CHECKS = {**reports.CHECKS}
+CHECKS = {**reports.CHECKS, **sources.CHECKS, **expressions.CHECKS, **relations.CHECKS}

@@ -40,6 +40,9 @@ def publish(
     if partition is not None:
         # One folder per day: gather each day's rows first, and let AQE split a day that is too large.
         df = df.hint("rebalance", partition)
+    if format == "csv":
+        # The writer's own time pattern would drop what is finer than milliseconds.
+        df = df.select([F.col(f"`{n}`").cast("string").alias(n) if t.startswith("timestamp") else F.col(f"`{n}`") for n, t in df.dtypes])
     writer = df.write.format(format)
     if format == "csv":
         writer = writer.option("header", True)
