@@ -9,7 +9,8 @@ from wardbook.functions.scalars import day_bounds, parse_ymd
 from wardbook.operators.intervals import DailySpine, active_daily, date_spine
 from wardbook.plans import appointments as app, occupancy as occ
 from wardbook.plans.common import stays
-from wardbook.sources.publish import audit, publish, shared_folder
+from wardbook.sources.publish import audit, publish
+from wardbook.sources.staging import shared_folder
 from wardbook.sources.tables import load
 
 from .case import Check, Context, dmy, oracle

@@ -124,7 +124,7 @@ def decode(c, labels: dict, default: Column | None = None) -> Column:
     c = _col(c)
     out = None
     for code, label in labels.items():
-        out = F.when(c == F.lit(code), label) if out is None else out.when(c == F.lit(code), label)
+        out = F.when(c == code, label) if out is None else out.when(c == code, label)
     return out if default is None else out.otherwise(default)
 
 

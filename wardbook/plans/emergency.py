@@ -10,7 +10,7 @@ tables come out of the same pass.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +18,7 @@ from wardbook.functions.codes import EMERGENCY_INDICATORS as LABELS
 from wardbook.functions.predicates import in_year, last_24_hours, starts_with_any
 from wardbook.functions.scalars import concat_text, instant, stamp_text
 from wardbook.operators.joins import count_per, having
+from wardbook.sources.staging import staged
 from wardbook.sources.tables import pick
 
 from .common import beds
@@ -96,12 +97,13 @@ def emergency_visits(t, as_of, year: int | None = None) -> DataFrame:
     folio = pick(t["hcnfolio"], folio_type="hcntiphis", admission="adningreso", at="hcfecfol")
     recent = folio.filter((F.col("folio_type") == _EMERGENCY_FOLIO) & last_24_hours("at", as_of))
     of_year = F.lit(True) if year is None else in_year("at", year)
-    counted = (
+    counted = staged(
         having(recent, t["hcntiphis"], "folio_type")
+        .filter(F.col("admission").isNotNull())
         .groupBy("admission")
         .agg(F.count("*").alias("visits"), F.count(F.when(of_year, 1)).alias("visits_of_year"))
     )
-    return counted.join(_admission_sites(t), "admission")
+    return _admission_sites(t).join(counted, "admission")
 
 
 def visit_indicators(visits: DataFrame, t) -> DataFrame:
@@ -136,7 +138,7 @@ def diagnosed_visits(visits: DataFrame, t, gyn_prefix: str) -> DataFrame:
     main = F.col("kind") == _MAIN_DIAGNOSIS
     discharged = having(having(visits, t["genpacien"], "patient"), t["adnegreso"], "discharge")
     return (
-        discharged.join(diagnosis, "discharge")
+        diagnosis.join(discharged, "discharge")
         .join(catalogue, "diagnosis")
         .groupBy("admission", "SEDE")
         .agg(
@@ -167,8 +169,7 @@ def therapy_indicators(diagnosed: DataFrame, t) -> DataFrame:
     therapy = service.filter(F.col("name").contains("RESPIRATORIA"))
     weight = (_big(F.col("visits")) * _big(F.col("main_diagnoses"))).cast("decimal(20,0)")
     sums = (
-        diagnosed.filter(F.col("main_diagnoses") > 0)
-        .join(therapy, "admission")
+        therapy.join(diagnosed.filter(F.col("main_diagnoses") > 0), "admission")
         .groupBy("SEDE")
         .agg(F.sum(weight * F.col("quantity")).alias("quantity"))
     )
@@ -181,8 +182,7 @@ def referral_indicators(diagnosed: DataFrame, t) -> DataFrame:
     referral = pick(t["hcnrefer"], folio="hcnfolio")
     weight = _big(F.col("visits_of_year")) * _big(F.col("diagnoses"))
     sums = (
-        diagnosed.filter(F.col("visits_of_year") > 0)
-        .join(folio, "admission")
+        folio.join(diagnosed.filter(F.col("visits_of_year") > 0), "admission")
         .join(referral, "folio")
         .groupBy("SEDE")
         .agg(F.sum(weight).alias("n"))
@@ -197,12 +197,17 @@ def discharge_indicators(t, as_of) -> DataFrame:
     ).filter((F.col("emergency") == 1) & last_24_hours("at", as_of))
     admission = pick(t["adningreso"], admission="oid", site="adncenate")
     dead = F.col("state").isin(*_DEAD)
-    counts = (
+    counted = staged(
         discharge.withColumn("n", F.lit(1))
-        .join(admission, "admission")
+        .filter(F.col("admission").isNotNull())
+        .groupBy("admission")
+        .agg(_sum_if(~dead, "n").alias("alive"), _sum_if(dead, "n").alias("dead"))
+    )
+    counts = (
+        admission.join(counted, "admission")
         .join(_site_codes(t), "site")
         .groupBy("SEDE")
-        .agg(_sum_if(~dead, "n").alias("alive"), _sum_if(dead, "n").alias("dead"))
+        .agg(F.sum("alive").alias("alive"), F.sum("dead").alias("dead"))
     )
     return _stack(counts, ["SEDE"], {"06": "alive", "14": "dead"})
 
@@ -239,13 +244,12 @@ def triage_indicators(t, as_of) -> DataFrame:
     ).filter(last_24_hours("at", as_of))
     priority = t["hcnclaurgtr"].filter(F.col("hccodigo").isin(*_PRIORITY_CLASSES))
     admission = pick(t["adningreso"], triage="hcentriage")
-    counts = (
+    recent = staged(
         having(having(triage, priority, "triage_class"), t["genpacien"], "patient")
         .join(_site_codes(t), "site")
-        .join(admission, "triage")
-        .groupBy("SEDE")
-        .agg(F.count("*").alias("n"))
+        .select("triage", "SEDE")
     )
+    counts = admission.join(recent, "triage").groupBy("SEDE").agg(F.count("*").alias("n"))
     return _stack(counts, ["SEDE"], {"08": "n"})
 
 
@@ -257,9 +261,8 @@ def infection_indicators(t, as_of) -> DataFrame:
     event = pick(t["hcniyaevts"], record="`InsidentesAccidentes`", kind="`EventosAdversos`").filter(
         F.col("kind") == _INFECTION
     )
-    infected = count_per(record.join(event, "record"), "admission", "infections").join(
-        _admission_sites(t).select("admission", "SEDE"), "admission"
-    )
+    counted = staged(count_per(event.join(staged(record), "record"), "admission", "infections"))
+    infected = staged(_admission_sites(t).select("admission", "SEDE").join(counted, "admission"))
     folio = pick(t["hcnfolio"], folio_type="hcntiphis", admission="adningreso").filter(
         F.col("folio_type") == _EMERGENCY_FOLIO
     )
@@ -281,19 +284,27 @@ def emergency_indicators(
     indicator 15 to one calendar year. Equal rows appear once.
     """
     wanted = set(codes)
-    visits = emergency_visits(t, as_of, year)
-    diagnosed = diagnosed_visits(visits, t, gyn_prefix)
+
+    # Built when first asked for; both are read by several groups.
+    @cache
+    def visits() -> DataFrame:
+        return staged(emergency_visits(t, as_of, year))
+
+    @cache
+    def diagnosed() -> DataFrame:
+        return staged(diagnosed_visits(visits(), t, gyn_prefix))
+
     groups = {
         ("01", "04"): lambda: bed_indicators(t),
         ("02",): lambda: room_indicators(t),
-        ("03", "05", "09"): lambda: visit_indicators(visits, t),
+        ("03", "05", "09"): lambda: visit_indicators(visits(), t),
         ("06", "14"): lambda: discharge_indicators(t, as_of),
         ("07",): lambda: psychology_indicators(t, as_of),
         ("08",): lambda: triage_indicators(t, as_of),
         ("10",): lambda: infection_indicators(t, as_of),
-        ("11", "13"): lambda: diagnosis_indicators(diagnosed),
-        ("12",): lambda: therapy_indicators(diagnosed, t),
-        ("15",): lambda: referral_indicators(diagnosed, t),
+        ("11", "13"): lambda: diagnosis_indicators(diagnosed()),
+        ("12",): lambda: therapy_indicators(diagnosed(), t),
+        ("15",): lambda: referral_indicators(diagnosed(), t),
     }
     frames = []
     for members, build in groups.items():

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardbook.functions.codes import BED_STATE, FREE, OCCUPIED
 from wardbook.functions.scalars import decode, instant, percent, whole_days
-from wardbook.operators.intervals import DailySpine, active_at, running, spread, steps, sum_steps
+from wardbook.operators.intervals import DailySpine, active_at, running, sorted_by_day, spread, steps, sum_steps
 from wardbook.operators.sets import ordered
 from wardbook.sources.tables import pick
 
@@ -159,9 +159,8 @@ def bed_use_history(t, start, end, as_of) -> DataFrame:
         F.struct(F.lit(FREE).alias("ESTADO"), F.col("idle").alias("CAMAS")),
     )
     report = (
-        daily.withColumn("day", spine.date("k"))
-        .select(*names, "day", F.explode(states).alias("s"))
+        daily.select("k", *names, F.explode(states).alias("s"))
         .filter(F.col("s.CAMAS") > 0)
-        .select("day", *names, F.date_format("day", "dd/MM/yyyy").alias("FECHA"), "s.ESTADO", "s.CAMAS")
+        .select("k", *names, F.date_format(spine.date("k"), "dd/MM/yyyy").alias("FECHA"), "s.ESTADO", "s.CAMAS")
     )
-    return ordered(report, "day", *names, "FECHA").drop("day")
+    return sorted_by_day(report, spine, *names, "FECHA").drop("k")

@@ -17,6 +17,7 @@ from wardbook.functions.scalars import (
 from wardbook.operators.intervals import attribute_events
 from wardbook.operators.joins import fan_out_left
 from wardbook.operators.sets import ordered
+from wardbook.sources.staging import known_keys
 from wardbook.sources.tables import pick
 
 from .common import beds, drug_lines, floors, procedures, sites, stays
@@ -25,8 +26,13 @@ _FOLLOWUP_ORDER = ("GRUPO_FAC", "SEDE", "SERVICIO", "NUMINGRESO", "OID")
 _CENSUS_ORDER = ("SEDE", "PISO", "FECHA_INGRESO", "NUMINGRESO", "PACIENTE")
 
 
-def _patients_in_bed(t) -> DataFrame:
-    """Admissions that hold a bed now, with patient, discharge, site and floor. At most a few per bed."""
+def _in_bed(t) -> DataFrame:
+    """Keys of the admissions that hold a bed now, at most one per bed."""
+    return known_keys(beds(t).select(F.col("current_admission").alias("admission")), "admission")
+
+
+def _patients_in_bed(t, in_bed: DataFrame) -> DataFrame:
+    """Patients in bed with discharge, site and floor."""
     bed = beds(t).select("site", "floor", F.col("current_admission").alias("admission"))
     admission = pick(
         t["adningreso"], admission="oid", NUMINGRESO="ainconsec", entered="ainfecing", patient="genpacien"
@@ -34,12 +40,12 @@ def _patients_in_bed(t) -> DataFrame:
     patient = pick(t["genpacien"], patient="oid", PACIENTE="gpanomcom")
     discharge = pick(t["adnegreso"], admission="adningreso", left_at="adefecsal")
     return (
-        bed.filter(F.col("admission").isNotNull())
+        admission.join(in_bed, "admission", "left_semi")
+        .join(patient, "patient")
+        .join(discharge.join(in_bed, "admission", "left_semi"), "admission", "left")
+        .join(bed, "admission")
         .join(floors(t), "floor")
         .join(sites(t).select("site", "SEDE"), "site")
-        .join(admission, "admission")
-        .join(patient, "patient")
-        .join(discharge, "admission", "left")
         .select("admission", "NUMINGRESO", "PACIENTE", "SEDE", "PISO", "entered", "left_at")
     )
 
@@ -58,20 +64,23 @@ def _services(t) -> DataFrame:
 
 
 def _services_in_stays(t, as_of) -> DataFrame:
-    """Services of the patients in bed, paired with the stay that covers them, once per invoice."""
-    in_bed = _patients_in_bed(t)
-    floor_stays = (
+    """Services of the patients in bed, paired with the stay that covers them, once per invoice.
+
+    Each large table is cut down to the admissions in bed before anything of it is shuffled.
+    """
+    in_bed = _in_bed(t)
+    own_stays = (
         stays(t)
+        .join(in_bed, "admission", "left_semi")
         .join(beds(t).select("bed", "floor"), "bed")
         .join(floors(t).withColumnRenamed("PISO", "ESTANCIA"), "floor")
         .select("admission", "ESTANCIA", "start", "end")
     )
-    theirs = in_bed.select("admission").distinct()
-    own_stays = floor_stays.join(theirs, "admission", "left_semi")
-    own_services = _services(t).join(in_bed, "admission")
+    own_services = _services(t).join(in_bed, "admission", "left_semi")
+    own_invoices = pick(t["slnfactur"], admission="adningreso").join(in_bed, "admission", "left_semi")
     paired = attribute_events(own_services, own_stays, "admission", "served", "start", "end", as_of)
-    own_invoices = pick(t["slnfactur"], admission="adningreso").join(theirs, "admission", "left_semi")
-    return fan_out_left(paired, own_invoices, "admission")
+    with_patient = paired.join(_patients_in_bed(t, in_bed), "admission")
+    return fan_out_left(with_patient, own_invoices, "admission")
 
 
 def _dates_and_spans(as_of) -> list:

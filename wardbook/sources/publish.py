@@ -2,28 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardbook.functions.scalars import instant, stamp_text
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder that every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session,
-    where driver and executors share one disk, may do without.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/wardbook-{uuid.uuid4().hex}"
-
-
 def publish(
     df: DataFrame,
     path: str,
