@@ -10,7 +10,7 @@ from wardbook.operators.intervals import DailySpine, active_at, active_daily, at
 from wardbook.operators.joins import count_per, fan_out_left, having, latest_version, weighted
 from wardbook.operators.sets import ordered, union_all, union_distinct
 from wardbook.plans import emergency as er, occupancy as occ, services as srv, unbilled
-from wardbook.plans.common import beds, drug_lines, floors, plans, procedures, sites, stays
+from wardbook.plans.common import beds, drug_lines, floors, procedures, sites, stays
 from wardbook.sources.tables import pick
 
 from .case import Check, case_of, oracle, short

@@ -17,7 +17,7 @@ from wardbook.functions.scalars import decode, normalize_area
 from wardbook.operators.joins import having
 from wardbook.sources.tables import pick
 
-from .common import beds, floors, plans
+from .common import beds, with_plan
 
 
 def admissions(t, as_of, start=REPORT_START) -> DataFrame:
@@ -40,12 +40,12 @@ def admissions(t, as_of, start=REPORT_START) -> DataFrame:
         FECHAFACT="ainfecfac",
     ).filter(between_instants("FECHA_INGRESO", start, as_of))
     site = pick(t["adncenate"], site="oid", CENTRO_DE_ATENCION="acacodigo")
-    area = beds(t).select("bed", "floor").join(floors(t), "floor").select("bed", F.col("PISO").alias("NOMBRE_CAMA"))
+    area = pick(t["hpnsubgru"], floor="oid", NOMBRE_CAMA="hsunombre")
     rows = (
-        having(admission, t["genpacien"], "patient")
-        .join(plans(t), "plan")
+        with_plan(having(admission, t["genpacien"], "patient"), t)
         .join(site, "site")
-        .join(area, "bed", "left")
+        .join(beds(t).select("bed", "floor"), "bed", "left")
+        .join(area, "floor", "left")
     )
     return rows.select(
         "CONSECUTIVO",

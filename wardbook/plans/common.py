@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wardbook.functions.scalars import site_short_name
+from wardbook.sources.staging import narrowed
 from wardbook.sources.tables import pick
 
 
@@ -35,34 +36,38 @@ def stays(t) -> DataFrame:
     return pick(t["hpnestanc"], bed="hpndefcam", admission="adningres", start="hesfecing", end="hesfecsal")
 
 
-def procedures(t) -> DataFrame:
+def procedures(t, services: DataFrame | None = None) -> DataFrame:
     """Procedure part of a service with its code and billing group, where known."""
-    catalogue = pick(t["genserips"], procedure="oid", CUP="sipcodcup", billing_group="genconfac1").join(
-        pick(t["genconfac"], billing_group="oid", group_name="gcfnombre"), "billing_group", "left"
-    )
+    part = pick(t["slnserhoj"], service="oid", procedure="genserips1")
     return (
-        pick(t["slnserhoj"], service="oid", procedure="genserips1")
-        .join(catalogue, "procedure", "left")
+        narrowed(part, services, "service")
+        .join(pick(t["genserips"], procedure="oid", CUP="sipcodcup", billing_group="genconfac1"), "procedure", "left")
+        .join(pick(t["genconfac"], billing_group="oid", group_name="gcfnombre"), "billing_group", "left")
         .select("service", "CUP", "group_name")
     )
 
 
-def drug_lines(t) -> DataFrame:
+def drug_lines(t, services: DataFrame | None = None) -> DataFrame:
     """Supply lines of the drug part of a service.
 
     A drug part without lines says nothing to a left join, so inner is
     enough here; the supply header has one row per key and no column in use.
     """
     lines = pick(t["innmsumpa"], service="slnprohoj", line_value="ismvalpro")
-    return lines.join(pick(t["slnprohoj"], service="oid"), "service")
+    part = pick(t["slnprohoj"], service="oid")
+    return narrowed(lines, services, "service").join(narrowed(part, services, "service"), "service")
 
 
-def plans(t) -> DataFrame:
-    """Benefit plan with contract and payer."""
-    contract = pick(t["gencontra"], contract="oid", payer="dgnentadm1")
-    payer = pick(t["geenentadm"], payer="oid", payer_code="entcodigo", payer_name="entnombre")
+def with_plan(df: DataFrame, t) -> DataFrame:
+    """Add benefit plan, contract and payer by the column ``plan``.
+
+    One join per table: Spark knows the size of each, and so which to
+    broadcast, but not that of a join of them.
+    """
     plan = pick(
         t["gendetcon"], plan="oid", plan_code="gdecodigo", plan_name="gdenombre", plan_type="gdetippla",
         contract="gencontra1",
     )
-    return plan.join(contract, "contract").join(payer, "payer").drop("contract", "payer")
+    contract = pick(t["gencontra"], contract="oid", payer="dgnentadm1")
+    payer = pick(t["geenentadm"], payer="oid", payer_code="entcodigo", payer_name="entnombre")
+    return df.join(plan, "plan").join(contract, "contract").join(payer, "payer").drop("contract", "payer")

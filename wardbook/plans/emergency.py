@@ -6,6 +6,10 @@ rows of the last 24 hours are first counted per admission. What follows is
 joined one to many against that small frame, and the counts are multiplied,
 so no product of two large groups is ever built. Indicators over the same
 tables come out of the same pass.
+
+The frames of one day are staged: they are computed once and joined with the
+tables of all time at their true size, so that a day small enough to be
+broadcast spares those tables a shuffle.
 """
 
 from __future__ import annotations

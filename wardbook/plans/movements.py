@@ -28,18 +28,17 @@ def floor_movements(t, with_label: bool = False) -> DataFrame:
         stays(t).select("bed", F.explode(moves).alias("m")).groupBy("bed", "m.INDICADOR", "m.day")
         .agg(F.count("*").alias("n"))
     )
-    places = (
-        beds(t).select("bed", "site", "floor", "current_admission")
-        .join(sites(t).select("site", "SEDE"), "site").join(floors(t), "floor")
+    rows = (
+        per_bed.join(beds(t).select("bed", "site", "floor", "current_admission"), "bed")
+        .join(sites(t).select("site", "SEDE"), "site")
+        .join(floors(t), "floor")
     )
     counted = F.when(
         (F.col("INDICADOR") == FLOOR_EXIT) | F.col("current_admission").isNotNull(), F.col("n")
     ).otherwise(F.lit(0))
-    rows = per_bed.join(places, "bed").groupBy("SEDE", "PISO", "day", "INDICADOR").agg(
-        F.sum(counted).alias("VALORIND")
-    )
+    totals = rows.groupBy("SEDE", "PISO", "day", "INDICADOR").agg(F.sum(counted).alias("VALORIND"))
     label = [F.date_format("day", "dd/MM/yyyy").alias("FECHA_IND")] if with_label else []
-    return rows.select(
+    return totals.select(
         "SEDE",
         "PISO",
         F.year("day").alias("VIGENCIA"),

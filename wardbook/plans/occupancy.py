@@ -122,11 +122,7 @@ def bed_use_history(t, start, end, as_of) -> DataFrame:
     """
     spine = DailySpine.of(start, end, "07:00:00")
     group = pick(t["hpngrupos"], bed_group="oid", TIPO="hgrnombre")
-    places = (
-        beds(t).select("bed", "site", "bed_group", "floor")
-        .join(sites(t), "site").join(group, "bed_group").join(floors(t), "floor")
-        .select("bed", "SEDE", "TIPO", "PISO")
-    )
+    names = ["SEDE", "TIPO", "PISO"]
     held = spine.window(stays(t), "start", F.coalesce(F.col("end"), instant(as_of)))
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     has_patient = F.col("admission").isNotNull()
@@ -138,7 +134,7 @@ def bed_use_history(t, start, end, as_of) -> DataFrame:
         idle=F.when(has_patient, none).otherwise(one),
     )
     amounts = ["taken", "idle"]
-    blank = places.select("bed", F.lit(0).alias("k"), none.alias("taken"), none.alias("idle"))
+    blank = beds(t).select("bed", F.lit(0).alias("k"), none.alias("taken"), none.alias("idle"))
     level = running(sum_steps(per_bed.unionByName(blank), ["bed"], amounts), ["bed"], amounts)
     # A bed counts as free once while no stay covers it.
     shown = level.select(
@@ -151,9 +147,12 @@ def bed_use_history(t, start, end, as_of) -> DataFrame:
     changes = shown.select(
         "bed", "k", *[(F.col(a) - F.lag(a, 1, 0).over(earlier)).alias(a) for a in amounts]
     )
-    names = ["SEDE", "TIPO", "PISO"]
-    # Unknown names form a group of their own here, as in any grouping.
-    daily = spread(running(sum_steps(changes.join(places, "bed"), names, amounts), names, amounts), spine, names)
+    # Names, not keys: places of one name are one line of the report.
+    placed = (
+        changes.join(beds(t).select("bed", "site", "bed_group", "floor"), "bed")
+        .join(sites(t), "site").join(group, "bed_group").join(floors(t), "floor")
+    )
+    daily = spread(running(sum_steps(placed, names, amounts), names, amounts), spine, names)
     states = F.array(
         F.struct(F.lit(OCCUPIED).alias("ESTADO"), F.col("taken").alias("CAMAS")),
         F.struct(F.lit(FREE).alias("ESTADO"), F.col("idle").alias("CAMAS")),

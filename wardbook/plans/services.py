@@ -17,7 +17,7 @@ from wardbook.functions.scalars import (
 from wardbook.operators.intervals import attribute_events
 from wardbook.operators.joins import fan_out_left
 from wardbook.operators.sets import ordered
-from wardbook.sources.staging import known_keys
+from wardbook.sources.staging import known_keys, narrowed, staged
 from wardbook.sources.tables import pick
 
 from .common import beds, drug_lines, floors, procedures, sites, stays
@@ -26,12 +26,12 @@ _FOLLOWUP_ORDER = ("GRUPO_FAC", "SEDE", "SERVICIO", "NUMINGRESO", "OID")
 _CENSUS_ORDER = ("SEDE", "PISO", "FECHA_INGRESO", "NUMINGRESO", "PACIENTE")
 
 
-def _in_bed(t) -> DataFrame:
+def _in_bed(t) -> DataFrame | None:
     """Keys of the admissions that hold a bed now, at most one per bed."""
-    return known_keys(beds(t).select(F.col("current_admission").alias("admission")), "admission")
+    return known_keys(beds(t).select(F.col("current_admission").alias("admission")), "admission", unique=True)
 
 
-def _patients_in_bed(t, in_bed: DataFrame) -> DataFrame:
+def _patients_in_bed(t, in_bed: DataFrame | None) -> DataFrame:
     """Patients in bed with discharge, site and floor."""
     bed = beds(t).select("site", "floor", F.col("current_admission").alias("admission"))
     admission = pick(
@@ -40,9 +40,9 @@ def _patients_in_bed(t, in_bed: DataFrame) -> DataFrame:
     patient = pick(t["genpacien"], patient="oid", PACIENTE="gpanomcom")
     discharge = pick(t["adnegreso"], admission="adningreso", left_at="adefecsal")
     return (
-        admission.join(in_bed, "admission", "left_semi")
+        narrowed(admission, in_bed, "admission")
         .join(patient, "patient")
-        .join(discharge.join(in_bed, "admission", "left_semi"), "admission", "left")
+        .join(narrowed(discharge, in_bed, "admission"), "admission", "left")
         .join(bed, "admission")
         .join(floors(t), "floor")
         .join(sites(t).select("site", "SEDE"), "site")
@@ -66,21 +66,22 @@ def _services(t) -> DataFrame:
 def _services_in_stays(t, as_of) -> DataFrame:
     """Services of the patients in bed, paired with the stay that covers them, once per invoice.
 
-    Each large table is cut down to the admissions in bed before anything of it is shuffled.
+    Each large table is cut down to the admissions in bed before anything of
+    it is shuffled. The result is staged: it is far smaller than the tables
+    that its services are looked up in next.
     """
     in_bed = _in_bed(t)
     own_stays = (
-        stays(t)
-        .join(in_bed, "admission", "left_semi")
+        narrowed(stays(t), in_bed, "admission")
         .join(beds(t).select("bed", "floor"), "bed")
         .join(floors(t).withColumnRenamed("PISO", "ESTANCIA"), "floor")
         .select("admission", "ESTANCIA", "start", "end")
     )
-    own_services = _services(t).join(in_bed, "admission", "left_semi")
-    own_invoices = pick(t["slnfactur"], admission="adningreso").join(in_bed, "admission", "left_semi")
+    own_services = narrowed(_services(t), in_bed, "admission")
+    own_invoices = narrowed(pick(t["slnfactur"], admission="adningreso"), in_bed, "admission")
     paired = attribute_events(own_services, own_stays, "admission", "served", "start", "end", as_of)
     with_patient = paired.join(_patients_in_bed(t, in_bed), "admission")
-    return fan_out_left(with_patient, own_invoices, "admission")
+    return staged(fan_out_left(with_patient, own_invoices, "admission"))
 
 
 def _dates_and_spans(as_of) -> list:
@@ -99,11 +100,9 @@ def service_followup(t, as_of) -> DataFrame:
 
     The price is rounded first and multiplied by the quantity afterwards.
     """
-    rows = (
-        _services_in_stays(t, as_of)
-        .join(drug_lines(t), "service", "left")
-        .join(procedures(t), "service", "left")
-    )
+    rows = _services_in_stays(t, as_of)
+    own = known_keys(rows, "service")
+    rows = rows.join(drug_lines(t, own), "service", "left").join(procedures(t, own), "service", "left")
     price = F.when(F.col("value") == 0, F.col("line_value")).otherwise(F.col("value"))
     charged = F.when(F.col("applied") == 0, price).otherwise(F.lit(0).cast("decimal(18,2)"))
     report = rows.select(
@@ -129,7 +128,8 @@ def daily_census(t, as_of) -> DataFrame:
 
     Sorted by the entry date as printed, that is by its text.
     """
-    rows = _services_in_stays(t, as_of).join(procedures(t), "service", "left")
+    rows = _services_in_stays(t, as_of)
+    rows = rows.join(procedures(t, known_keys(rows, "service")), "service", "left")
     charged = F.when(F.col("applied") == 0, F.col("value")).otherwise(F.lit(0).cast("decimal(18,2)"))
     report = rows.select(
         "NUMINGRESO",
@@ -193,7 +193,12 @@ def service_history(t, year: int, as_of) -> DataFrame:
     ).filter(in_year("entered", year))
     entry_site = sites(t).select("site", F.col("SEDE").alias("SEDE_INGRESO"))
     # Only the year's services take part in the joins on the way to the totals.
-    services = _services(t).join(admission.select("admission"), "admission", "left_semi")
+    keys = known_keys(admission, "admission", unique=True)
+    services = (
+        _services(t).join(admission.select("admission"), "admission", "left_semi")
+        if keys is None
+        else narrowed(_services(t), keys, "admission")
+    )
     rows = (
         service_volumes(t, services, as_of)
         .join(admission, "admission")

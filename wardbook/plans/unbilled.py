@@ -9,17 +9,18 @@ from wardbook.functions.predicates import number_between, text_between
 from wardbook.functions.scalars import date_text, decode, instant, null_text, round_hundred
 from wardbook.operators.joins import having, latest_version
 from wardbook.operators.sets import union_all
+from wardbook.sources.staging import known_keys, narrowed
 from wardbook.sources.tables import pick
 
-from .common import plans
+from .common import with_plan
 
 _CANCELLED = 2
 _OPEN_STATES = (0, 3)
 _MONEY = "decimal(38,4)"
 
 
-def _admissions(t, start, end, codes: Column) -> DataFrame:
-    """Open admissions of the period with patient, discharge, plan and site."""
+def _wanted(t, start, end, codes: Column) -> DataFrame:
+    """Open admissions of the period with their site."""
     admission = pick(
         t["adningreso"],
         admission="oid",
@@ -32,6 +33,13 @@ def _admissions(t, start, end, codes: Column) -> DataFrame:
         admission_type="aintiping",
     )
     site = pick(t["adncenate"], site="oid", CODIGO_CENTROA="acacodigo", NOMBRE_CENTROA="acanombre")
+    return admission.filter(
+        (F.col("entered") >= start) & (F.col("entered") <= end) & F.col("state").isin(*_OPEN_STATES)
+    ).join(site.filter(codes), "site")
+
+
+def _admissions(t, wanted: DataFrame) -> DataFrame:
+    """Admissions with patient, discharge and plan."""
     patient = pick(
         t["genpacien"],
         patient="oid",
@@ -41,32 +49,24 @@ def _admissions(t, start, end, codes: Column) -> DataFrame:
         born="gpafecnac",
     )
     discharge = pick(t["adnegreso"], admission="adningreso", left_at="adefecsal")
-    return (
-        admission.filter(
-            (F.col("entered") >= start) & (F.col("entered") <= end) & F.col("state").isin(*_OPEN_STATES)
-        )
-        .join(site.filter(codes), "site")
-        .join(plans(t), "plan")
-        .join(patient, "patient")
-        .join(discharge, "admission", "left")
-        .select(
-            "admission",
-            "NUMERO_INGRESO",
-            date_text("entered").alias("FECHA_INGRESO"),
-            date_text("left_at").alias("FECHA_EGRESO"),
-            F.col("plan_code").alias("CODIGO_PLAN"),
-            F.col("plan_name").alias("NOMBRE_PLAN"),
-            "CODIGO_CENTROA",
-            "NOMBRE_CENTROA",
-            F.col("payer_code").alias("CODIGO_ENTIDAD"),
-            F.col("payer_name").alias("NOMBRE_ENTIDAD"),
-            decode("document_type", DOCUMENT_TYPE).alias("TIPO_DOCUMENTO_PACIENTE"),
-            "NUMERO_DE_IDENTIFICACION",
-            "PACIENTE",
-            date_text("born").alias("PACIENTEFECHANAC"),
-            decode("plan_type", PLAN_TYPE).alias("TIPOPLAN"),
-            decode("admission_type", ADMISSION_TYPE).alias("TIPO_INGRESO"),
-        )
+    rows = with_plan(wanted, t).join(patient, "patient").join(discharge, "admission", "left")
+    return rows.select(
+        "admission",
+        "NUMERO_INGRESO",
+        date_text("entered").alias("FECHA_INGRESO"),
+        date_text("left_at").alias("FECHA_EGRESO"),
+        F.col("plan_code").alias("CODIGO_PLAN"),
+        F.col("plan_name").alias("NOMBRE_PLAN"),
+        "CODIGO_CENTROA",
+        "NOMBRE_CENTROA",
+        F.col("payer_code").alias("CODIGO_ENTIDAD"),
+        F.col("payer_name").alias("NOMBRE_ENTIDAD"),
+        decode("document_type", DOCUMENT_TYPE).alias("TIPO_DOCUMENTO_PACIENTE"),
+        "NUMERO_DE_IDENTIFICACION",
+        "PACIENTE",
+        date_text("born").alias("PACIENTEFECHANAC"),
+        decode("plan_type", PLAN_TYPE).alias("TIPOPLAN"),
+        decode("admission_type", ADMISSION_TYPE).alias("TIPO_INGRESO"),
     )
 
 
@@ -84,7 +84,8 @@ def service_orders(t) -> DataFrame:
     centre = pick(t["ctncencos"], centre="oid", CENTROCODIGO="cccodigo", CENTRONOMBRE="ccnombre")
     return (
         order.filter(F.col("order_state") != _CANCELLED)
-        .join(area.join(centre, "centre"), "area")
+        .join(area, "area")
+        .join(centre, "centre")
         .select(
             "order", "NUMERO_ORDEN", date_text("ordered_at").alias("FECHA_ORDEN"),
             "AREACODIGO", "AREANOMBRE", "CENTROCODIGO", "CENTRONOMBRE",
@@ -92,7 +93,7 @@ def service_orders(t) -> DataFrame:
     )
 
 
-def _services(t, admissions: DataFrame) -> DataFrame:
+def _services(t, wanted: DataFrame) -> DataFrame:
     service = pick(
         t["slnserpro"],
         service="oid",
@@ -109,8 +110,8 @@ def _services(t, admissions: DataFrame) -> DataFrame:
     )
     physician = pick(t["genmedico"], physician="oid", MEDICOCODIGO="gmecodigo", MEDICONOMBRE="gmenomcom")
     return (
-        service.filter(F.col("applied") == 0)
-        .join(admissions, "admission")
+        narrowed(service.filter(F.col("applied") == 0), known_keys(wanted, "admission", unique=True), "admission")
+        .join(_admissions(t, wanted), "admission")
         .join(service_orders(t), "order")
         .join(physician, "physician")
     )
@@ -118,17 +119,21 @@ def _services(t, admissions: DataFrame) -> DataFrame:
 
 def drug_details(t) -> DataFrame:
     """Drug part of a service with product and groups, one row per supply line."""
-    product = (
-        pick(
-            t["innproduc"], product="oid", SERVICIO_CODIGO="iprcodigo", group="igrcodigo", subgroup="isgcodigo"
-        )
-        .join(pick(t["inngrupo"], group="oid", GRUPOSERCODIGO="igrcodigo", GRUPOSERNOMBRE="igrnombre"), "group")
-        .join(pick(t["innsubgru"], subgroup="oid", SUBGRUPOCODIGO="isgcodigo", SUBGRUPONOMBRE="isgnombre"), "subgroup")
-        .drop("group", "subgroup")
+    product = pick(
+        t["innproduc"], product="oid", SERVICIO_CODIGO="iprcodigo", group="igrcodigo", subgroup="isgcodigo"
     )
+    group = pick(t["inngrupo"], group="oid", GRUPOSERCODIGO="igrcodigo", GRUPOSERNOMBRE="igrnombre")
+    subgroup = pick(t["innsubgru"], subgroup="oid", SUBGRUPOCODIGO="isgcodigo", SUBGRUPONOMBRE="isgnombre")
     part = pick(t["slnprohoj"], service="oid", header="inncsumpa1", product="innproduc1")
     lines = pick(t["innmsumpa"], service="slnprohoj", line_value="ismvalpro")
-    return having(part, t["inncsumpa"], "header").drop("header").join(product, "product").join(lines, "service").drop("product")
+    return (
+        having(part, t["inncsumpa"], "header")
+        .join(product, "product")
+        .join(group, "group")
+        .join(subgroup, "subgroup")
+        .drop("header", "product", "group", "subgroup")
+        .join(lines, "service")
+    )
 
 
 def tariffs(t) -> DataFrame:
@@ -139,20 +144,23 @@ def tariffs(t) -> DataFrame:
 
 def procedure_details(t) -> DataFrame:
     """Procedure part of a service with catalogue, groups, newest tariff and surgical group."""
-    catalogue = (
-        pick(t["genserips"], procedure="oid", SERVICIO_CODIGO="sipcodigo", group="gengrupos1", subgroup="gensubgru1")
-        .join(pick(t["gengrupos"], group="oid", GRUPOSERCODIGO="ggrcodigo", GRUPOSERNOMBRE="ggrnombre"), "group")
-        .join(pick(t["gensubgru"], subgroup="oid", SUBGRUPOCODIGO="gsucodigo", SUBGRUPONOMBRE="gsunombre"), "subgroup")
-        .drop("group", "subgroup")
+    catalogue = pick(
+        t["genserips"], procedure="oid", SERVICIO_CODIGO="sipcodigo", group="gengrupos1", subgroup="gensubgru1"
     )
+    group = pick(t["gengrupos"], group="oid", GRUPOSERCODIGO="ggrcodigo", GRUPOSERNOMBRE="ggrnombre")
+    subgroup = pick(t["gensubgru"], subgroup="oid", SUBGRUPOCODIGO="gsucodigo", SUBGRUPONOMBRE="gsunombre")
     surgical = pick(t["gengruqui"], surgical="oid", GRUPOQUICODIGO="sgqcodigo", GRUPOQUINOMBRE="sgqnombre")
-    manual = (
-        pick(t["genmanser"], manual="oid", surgical="gengruqui1")
+    manual = pick(t["genmanser"], manual="oid", surgical="gengruqui1")
+    part = pick(t["slnserhoj"], service="oid", procedure="genserips1", manual="genmanser1")
+    return (
+        part.join(catalogue, "procedure")
+        .join(group, "group")
+        .join(subgroup, "subgroup")
+        .join(manual, "manual")
         .join(tariffs(t), "manual")
         .join(surgical, "surgical", "left")
+        .drop("procedure", "manual", "group", "subgroup")
     )
-    part = pick(t["slnserhoj"], service="oid", procedure="genserips1", manual="genmanser1")
-    return part.join(catalogue, "procedure").join(manual, "manual").drop("procedure", "manual")
 
 
 _COLUMNS = (
@@ -174,9 +182,8 @@ def unbilled_services(
     Site bounds given as text compare site codes as text, as numbers by value.
     """
     between = text_between if isinstance(site_lo, str) else number_between
-    services = _services(
-        t, _admissions(t, instant(start), instant(end), between("CODIGO_CENTROA", site_lo, site_hi))
-    )
+    codes = between("CODIGO_CENTROA", site_lo, site_hi)
+    services = _services(t, _wanted(t, instant(start), instant(end), codes))
     quantity, value = F.col("CANTIDAD"), F.col("value")
 
     drugs = services.join(drug_details(t), "service")

@@ -38,10 +38,20 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def known_keys(df: DataFrame, column: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The distinct keys of a column, marked for broadcast if there are at most ``rows`` of them.
+def known_keys(df: DataFrame, column: str, rows: int = BROADCAST_ROWS, unique: bool = False) -> DataFrame | None:
+    """The keys of a column, counted and found to be at most ``rows``; otherwise None.
 
-    The keys are counted first. More of them are joined like any other table.
+    ``unique`` says that they hardly repeat: counting then stops early and needs no shuffle.
     """
-    keys = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+    keys = df.select(column).filter(F.col(column).isNotNull())
+    keys = keys if unique else keys.distinct()
+    return keys if keys.limit(rows + 1).count() <= rows else None
+
+
+def narrowed(df: DataFrame, keys: DataFrame | None, column: str) -> DataFrame:
+    """Cut a large table down to known keys where it is read, before any shuffle.
+
+    For tables that meet those keys in a later join anyway. Too many keys to
+    be sent around leave the table whole, and that join does the work.
+    """
+    return df if keys is None else df.join(F.broadcast(keys), column, "left_semi")
