@@ -22,6 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from wardbook.functions.scalars import _col, instant
 
 
+# Time before this many years ago is not told apart when events are put into buckets.
+_YEARS = 20
+
+
 def _as_date(value) -> date:
     if isinstance(value, datetime):
         return value.date()
@@ -192,20 +196,28 @@ def attribute_events(
     An event lies in exactly one time bucket and an interval is repeated for
     each bucket it touches, so the pairs are the same as without buckets.
     The key and bucket together spread a key that holds a large share of the
-    rows, and only intervals near an event in time are looked at.
+    rows, and only intervals near an event in time are looked at. All time
+    after ``as_of`` is one bucket, and so is all time more than _YEARS before
+    it, which bounds the copies of an interval with a far-off start or end.
     """
     own = [c for c in intervals.columns if c != key]
+    newest = bucket(instant(as_of), bucket_days) + 1
+    oldest = newest - _YEARS * 366 // bucket_days
+
+    def slot(c: str) -> Column:
+        return F.greatest(oldest, F.least(newest, bucket(c, bucket_days)))
+
     spans = (
         intervals.filter(F.col(key).isNotNull())
         .withColumn("_until", F.coalesce(F.col(end), instant(as_of)))
         .filter(F.col(start) < F.col("_until"))
         .withColumn(
             "_bucket",
-            F.explode(F.sequence(bucket(start, bucket_days), bucket("_until", bucket_days))),
+            F.explode(F.sequence(slot(start), slot("_until"))),
         )
         .withColumnRenamed(key, "_key")
     )
-    marked = events.withColumn("_bucket", bucket(at, bucket_days))
+    marked = events.withColumn("_bucket", slot(at))
     near = (
         (marked[key] == spans["_key"])
         & (marked["_bucket"] == spans["_bucket"])

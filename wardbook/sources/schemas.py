@@ -5,14 +5,22 @@ L long key, I whole-number code, S text, D decimal(18,2), T zone-less instant.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 _TYPES = {
-    "L": "bigint",
-    "I": "int",
-    "S": "string",
-    "D": "decimal(18,2)",
-    "T": "timestamp_ntz",
+    "L": LongType(),
+    "I": IntegerType(),
+    "S": StringType(),
+    "D": DecimalType(18, 2),
+    "T": TimestampNTZType(),
 }
 
 TABLES = {
@@ -84,4 +92,4 @@ TABLES = {
 
 def schema(name: str) -> StructType:
     fields = [f.strip().rsplit(" ", 1) for f in TABLES[name].split(",")]
-    return StructType.fromDDL(", ".join(f"`{column}` {_TYPES[kind]}" for column, kind in fields))
+    return StructType([StructField(column, _TYPES[kind]) for column, kind in fields])
