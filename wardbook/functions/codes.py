@@ -175,3 +175,7 @@ AREA_MARKERS = ("CACE", "CACR", "SEDE")
 
 # First instant covered by the admissions, invoices and sales reports.
 REPORT_START = "2021-10-31 00:00:00"
+
+# First day of the daily histories, and year of the service history.
+SPINE_START = "2022-11-01"
+HISTORY_YEAR = 2022
