@@ -17,7 +17,7 @@ from wardbook.functions.scalars import (
 from wardbook.operators.intervals import attribute_events
 from wardbook.operators.joins import fan_out_left
 from wardbook.operators.sets import ordered
-from wardbook.sources.staging import known_keys, narrowed, staged
+from wardbook.sources.staging import FEW_ADMISSIONS, known_keys, narrowed, staged
 from wardbook.sources.tables import pick
 
 from .common import beds, drug_lines, floors, procedures, sites, stays
@@ -146,8 +146,11 @@ def daily_census(t, as_of) -> DataFrame:
     return ordered(report, *_CENSUS_ORDER)
 
 
-def service_volumes(t, services: DataFrame, as_of) -> DataFrame:
-    """Count, quantity and value of services per admission, billing group and site of the stay."""
+def service_volumes(t, services: DataFrame, as_of, own: DataFrame | None = None) -> DataFrame:
+    """Count, quantity and value of services per admission, billing group and site of the stay.
+
+    ``own`` are the keys of the services, if these are few.
+    """
     site_stays = (
         stays(t)
         .join(beds(t).select("bed", "site", "floor"), "bed")
@@ -157,8 +160,8 @@ def service_volumes(t, services: DataFrame, as_of) -> DataFrame:
     )
     # All three detail joins run on the service key, so one shuffle of the services serves them.
     rows = (
-        services.join(drug_lines(t), "service", "left")
-        .join(procedures(t), "service", "left")
+        services.join(drug_lines(t, own), "service", "left")
+        .join(procedures(t, own), "service", "left")
     )
     paired = attribute_events(rows, site_stays, "admission", "served", "start", "end", as_of, how="left")
     price = F.when(F.col("value") == 0, F.col("line_value")).otherwise(F.col("value"))
@@ -194,13 +197,14 @@ def service_history(t, year: int, as_of) -> DataFrame:
     entry_site = sites(t).select("site", F.col("SEDE").alias("SEDE_INGRESO"))
     # Only the year's services take part in the joins on the way to the totals.
     keys = known_keys(admission, "admission", unique=True)
-    services = (
-        _services(t).join(admission.select("admission"), "admission", "left_semi")
-        if keys is None
-        else narrowed(_services(t), keys, "admission")
-    )
+    if keys is None:
+        services, own = _services(t).join(admission.select("admission"), "admission", "left_semi"), None
+    else:
+        services = narrowed(_services(t), keys, "admission")
+        few = known_keys(admission, "admission", FEW_ADMISSIONS, unique=True) is not None
+        own = known_keys(services, "service", unique=True) if few else None
     rows = (
-        service_volumes(t, services, as_of)
+        service_volumes(t, services, as_of, own)
         .join(admission, "admission")
         .join(entry_site, "site")
         .join(billed_totals(t), "admission", "left")

@@ -9,7 +9,7 @@ from wardbook.functions.predicates import number_between, text_between
 from wardbook.functions.scalars import date_text, decode, instant, null_text, round_hundred
 from wardbook.operators.joins import having, latest_version
 from wardbook.operators.sets import union_all
-from wardbook.sources.staging import known_keys, narrowed
+from wardbook.sources.staging import FEW_ADMISSIONS, known_keys, narrowed
 from wardbook.sources.tables import pick
 
 from .common import with_plan
@@ -93,7 +93,8 @@ def service_orders(t) -> DataFrame:
     )
 
 
-def _services(t, wanted: DataFrame) -> DataFrame:
+def _services(t, wanted: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Unapplied services of the admissions in full detail, and their keys if these are few."""
     service = pick(
         t["slnserpro"],
         service="oid",
@@ -109,15 +110,19 @@ def _services(t, wanted: DataFrame) -> DataFrame:
         applied="seraplpro",
     )
     physician = pick(t["genmedico"], physician="oid", MEDICOCODIGO="gmecodigo", MEDICONOMBRE="gmenomcom")
-    return (
-        narrowed(service.filter(F.col("applied") == 0), known_keys(wanted, "admission", unique=True), "admission")
-        .join(_admissions(t, wanted), "admission")
+    admissions = known_keys(wanted, "admission", unique=True)
+    service = narrowed(service.filter(F.col("applied") == 0), admissions, "admission")
+    few = known_keys(wanted, "admission", FEW_ADMISSIONS, unique=True) is not None
+    own = known_keys(service, "service", unique=True) if few else None
+    rows = (
+        service.join(_admissions(t, wanted), "admission")
         .join(service_orders(t), "order")
         .join(physician, "physician")
     )
+    return rows, own
 
 
-def drug_details(t) -> DataFrame:
+def drug_details(t, services: DataFrame | None = None) -> DataFrame:
     """Drug part of a service with product and groups, one row per supply line."""
     product = pick(
         t["innproduc"], product="oid", SERVICIO_CODIGO="iprcodigo", group="igrcodigo", subgroup="isgcodigo"
@@ -127,12 +132,12 @@ def drug_details(t) -> DataFrame:
     part = pick(t["slnprohoj"], service="oid", header="inncsumpa1", product="innproduc1")
     lines = pick(t["innmsumpa"], service="slnprohoj", line_value="ismvalpro")
     return (
-        having(part, t["inncsumpa"], "header")
+        having(narrowed(part, services, "service"), t["inncsumpa"], "header")
         .join(product, "product")
         .join(group, "group")
         .join(subgroup, "subgroup")
         .drop("header", "product", "group", "subgroup")
-        .join(lines, "service")
+        .join(narrowed(lines, services, "service"), "service")
     )
 
 
@@ -142,7 +147,7 @@ def tariffs(t) -> DataFrame:
     return latest_version(versions.filter(F.col("manual").isNotNull()), "manual").select("manual", "tariff")
 
 
-def procedure_details(t) -> DataFrame:
+def procedure_details(t, services: DataFrame | None = None) -> DataFrame:
     """Procedure part of a service with catalogue, groups, newest tariff and surgical group."""
     catalogue = pick(
         t["genserips"], procedure="oid", SERVICIO_CODIGO="sipcodigo", group="gengrupos1", subgroup="gensubgru1"
@@ -153,7 +158,8 @@ def procedure_details(t) -> DataFrame:
     manual = pick(t["genmanser"], manual="oid", surgical="gengruqui1")
     part = pick(t["slnserhoj"], service="oid", procedure="genserips1", manual="genmanser1")
     return (
-        part.join(catalogue, "procedure")
+        narrowed(part, services, "service")
+        .join(catalogue, "procedure")
         .join(group, "group")
         .join(subgroup, "subgroup")
         .join(manual, "manual")
@@ -183,14 +189,14 @@ def unbilled_services(
     """
     between = text_between if isinstance(site_lo, str) else number_between
     codes = between("CODIGO_CENTROA", site_lo, site_hi)
-    services = _services(t, _wanted(t, instant(start), instant(end), codes))
+    services, own = _services(t, _wanted(t, instant(start), instant(end), codes))
     quantity, value = F.col("CANTIDAD"), F.col("value")
 
-    drugs = services.join(drug_details(t), "service")
+    drugs = services.join(drug_details(t, own), "service")
     drug_total = F.when(value == 0, F.col("line_value") * quantity).otherwise(value * quantity)
     drugs = drugs.withColumn("TOTSER", drug_total.cast(_MONEY))
 
-    work = services.join(procedure_details(t), "service")
+    work = services.join(procedure_details(t, own), "service")
     price = F.when(F.col("surgical").isNull(), F.col("tariff")).otherwise(value)
     work = work.withColumn("TOTSER", round_hundred(price * quantity).cast(_MONEY)).withColumn(
         "GRUPOQUIRURGICO", F.col("surgical").cast("string")

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Rows of a key column that may be sent to every executor: 8 MB of long keys.
 BROADCAST_ROWS = 1_000_000
 
+# Up to this many admissions it pays to look up the keys of their services beforehand.
+FEW_ADMISSIONS = 50_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Name of a new folder that every executor can reach.
