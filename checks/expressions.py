@@ -34,7 +34,6 @@ from wardbook.functions.scalars import (
     truncate,
     whole_days,
 )
-from wardbook.operators.intervals import active_at
 from wardbook.plans.billing import countable_invoices
 from wardbook.plans.common import drug_lines, procedures, stays
 from wardbook.sources.tables import pick

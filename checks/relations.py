@@ -5,29 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardbook.functions import codes as k
-from wardbook.functions.scalars import decode, percent, site_short_name, text_if_null, whole_days
+from wardbook.functions.scalars import decode, percent, site_short_name, whole_days
 from wardbook.operators.intervals import DailySpine, active_at, active_daily, attribute_events
 from wardbook.operators.joins import count_per, fan_out_left, having, latest_version, weighted
 from wardbook.operators.sets import ordered, union_all, union_distinct
-from wardbook.plans import emergency as er, occupancy as occ, services as srv, unbilled
-from wardbook.plans.common import beds, drug_lines, floors, procedures, sites, stays
+from wardbook.plans import emergency as er, services as srv, unbilled
+from wardbook.plans.common import beds, drug_lines, floors, sites, stays
 from wardbook.sources.tables import pick
 
 from .case import Check, case_of, oracle, short
-from .reports import (
-    _COUNTABLE,
-    _ONE_INSTANT,
-    _occupancy_sql,
-    _stack_sql,
-    _unbilled_sql,
-    CHECKS as REPORTS,
-    END_DAY,
-    FECHA,
-    R3,
-    R15,
-    START_DAY,
-    _spine,
-)
+from .reports import END_DAY, START_DAY, _spine, _stack_sql, _unbilled_sql
 from .samples import EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_START
 
 _AT = f"timestamp '{ORDERS_AS_OF}'"

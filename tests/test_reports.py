@@ -16,7 +16,7 @@ from wardbook.plans.emergency import CODES, emergency_indicators
 from wardbook.plans.movements import floor_movements
 from wardbook.plans.occupancy import bed_state, bed_use_history, occupancy, occupancy_history
 from wardbook.plans.services import daily_census, service_followup
-from wardbook.sources.schemas import TABLES, schema
+from wardbook.sources.schemas import schema
 from wardbook.sources.tables import HospitalTables
 
 SF = "/root/testdata/sf0.001"

@@ -44,11 +44,12 @@ def staged(df: DataFrame) -> DataFrame:
 def known_keys(df: DataFrame, column: str, rows: int = BROADCAST_ROWS, unique: bool = False) -> DataFrame | None:
     """The keys of a column, counted and found to be at most ``rows``; otherwise None.
 
-    ``unique`` says that they hardly repeat: counting then stops early and needs no shuffle.
+    ``unique`` says that they hardly repeat, and spares the shuffle that makes them distinct. They are
+    counted whole, in one number per task: a limit in front would send rows to a single task.
     """
     keys = df.select(column).filter(F.col(column).isNotNull())
     keys = keys if unique else keys.distinct()
-    return keys if keys.limit(rows + 1).count() <= rows else None
+    return keys if keys.count() <= rows else None
 
 
 def narrowed(df: DataFrame, keys: DataFrame | None, column: str) -> DataFrame:
