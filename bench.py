@@ -4,7 +4,7 @@ BENCH_SF_DIR names the given tables (default /root/testdata/sf0.1) and
 BENCH_CPUS the local cores (default 8). Each query runs in full into a sink
 that throws the rows away, so planning, scan, shuffle and every projected
 column count and nothing passes through the driver. After one round to warm
-up, the best of BENCH_RUNS rounds (default 2) stands.
+up, the best of BENCH_RUNS rounds (default 1) stands.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     only = sys.argv[1:]
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
