@@ -55,7 +55,7 @@ def test_line_dedup_on_given_documents(given):
 def test_tight_runs():
     assert lines.tight_runs([3, 3, 3], 5) == [[2], [2], []]
     assert lines.tight_runs([1, 1, 5], 5) == [[3], [2], [1]]
-    assert lines.tight_runs([2, 2, 1], 4) == [[2], [], []]
+    assert lines.tight_runs([2, 2, 1], 4) == [[2, 3], [], []]
     assert lines.tight_runs([], 5) == []
 
 
