@@ -25,7 +25,8 @@ BLOCK = 128
 SLOTS = 16_384
 # Weights are a setting with one entry per source, so the sources have to fit the driver.
 MAX_SOURCES = 100_000
-_WORDS_PER_BUCKET = 2_000_000
+_WORDS_PER_BUCKET = 200_000
+_SLOTS_PER_TASK = 500_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -107,7 +108,7 @@ def _pieces(rows: DataFrame, total: int, block: int) -> DataFrame:
     A source may hold any share of the words: it is cut by ``place`` into
     buckets, whose sizes give where each bucket's words start.
     """
-    buckets = max(8, total // _WORDS_PER_BUCKET)
+    buckets = max(64, total // _WORDS_PER_BUCKET)
     cut = rows.filter("size > 0").withColumn("bucket", F.pmod("place", F.lit(buckets)))
     sums = cut.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,7 +122,7 @@ def _pieces(rows: DataFrame, total: int, block: int) -> DataFrame:
     )
     first = F.col("offset") + F.col("ahead")
     span = placed.select("row", "source", first.alias("first"), (first + F.col("size")).alias("end"))
-    blocks = F.sequence(F.floor(F.col("first") / block), F.floor((F.col("end") - 1) / block))
+    blocks = F.expr(f"sequence(first div {block}, (end - 1) div {block})")
     each = span.select("row", "source", "first", "end", F.explode(blocks).alias("block"))
     low, high = F.greatest("first", F.col("block") * block), F.least("end", (F.col("block") + 1) * block)
     return each.select("row", "source", "block", (low - F.col("first")).alias("start"), (high - low).alias("words"))
@@ -183,8 +184,11 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
                         at = permutation(own, total, seed * 1_000_003 + int(number) * 31 + turn)
                         yield pd.DataFrame({"shard": shard, "number": np.int32(number), "block": at})
 
+    # A run of a few bytes becomes thousands of slots: deal the runs out by what they become.
+    runs = runs.repartition(max(1, n_slots // _SLOTS_PER_TASK), "shard", "number")
     slots_ = runs.mapInPandas(filled, "shard long, number int, block long")
-    taken = slots_.groupBy("number", "block").agg(F.count("*").alias("times"))
+    # Written, so that the join sees its true size; it grows with the corpus.
+    taken = settled(slots_.groupBy("number", "block").agg(F.count("*").alias("times")))
     few = F.broadcast(setting.select("source", "number"))  # at most MAX_SOURCES rows
     pieces = _pieces(rows, sum(sizes.values()), block)
     pieces = pieces.join(few.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
