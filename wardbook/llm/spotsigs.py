@@ -13,6 +13,7 @@ import base64
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
@@ -110,16 +111,14 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-_RESULT = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 _SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double, part int, edge string, text string"
+    "near_edited double, near_next double"
 )
 _ARROW = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
-        ("part", pa.int32()), ("edge", pa.string()), ("text", pa.string()),
     ]
 )
 
@@ -144,35 +143,35 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _walk(batches):
-    """Compare each row of a sorted partition with the one after it; the first and the last leave their text."""
-    from pyspark import TaskContext
-
-    part, cache, held, rows = TaskContext.get().partitionId(), _Words(), None, []
+    """Compare each row of a sorted part with the one after it. Last in a part comes the first text of the next one."""
+    cache, held, rows = _Words(), None, []
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            text = text or ""
-            spots = signatures(text, cache)
-            if held is None:
-                rows.append((doc_id, *[None] * 6, part, "head", text))
-            else:
-                rows.append((*_compared(*held, text, spots, cache), part, None, None))
-            held = (doc_id, text, spots)
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            for part, follows, doc_id, text in zip(*(some[c].to_pylist() for c in ("part", "follows", "doc_id", "text")), strict=True):
+                text = text or ""
+                spots = signatures(text, cache)
+                if held is not None and held[0] == part:
+                    rows.append(_compared(*held[1:], text, spots, cache))
+                held = None if follows else (part, doc_id, text, spots)
             if len(rows) >= 2_000:
                 yield _batch(rows)
                 rows = []
-    if held is not None:
-        rows.append((held[0], *[None] * 6, part, "tail", held[1]))
+    if rows:
         yield _batch(rows)
 
 
-def _tails(batches):
-    cache = _Words()
-    for batch in batches:
-        rows = []
-        for doc_id, text, following in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "following")), strict=True):
-            rows.append((*_compared(doc_id, text, signatures(text, cache), following, signatures(following, cache), cache), None, None, None))
-        if rows:
-            yield _batch(rows)
+def _parts(bounds: np.ndarray):
+    """The part of an id between bounds; an id that fills several parts alone is cut by hash."""
+
+    def part(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        own = ids.to_numpy(dtype=np.int64)
+        low, high = np.searchsorted(bounds, own, "left"), np.searchsorted(bounds, own, "right")
+        share = (hashes.to_numpy(dtype=np.int64).astype(np.float64) + 2.0**63) / 2.0**64
+        inside = np.floor(share * np.maximum(high - low, 1)).astype(np.int64)
+        return pd.Series(low + np.minimum(inside, np.maximum(high - low - 1, 0)))
+
+    return F.pandas_udf(part, "long")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -183,20 +182,30 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     first. Null text counts as empty. Repeated rows each have a row, an empty
     table gives none. Only doc_id and text are read.
 
-    Rows are dealt out in ranges of ids and walked in order. Only the last row
-    of each range waits for the first of the next one.
+    Rows are dealt out in parts of neighbouring ids and walked in order. The
+    first text of each part also goes to the part before it.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    dealt = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    walked = settled(dealt.mapInArrow(_walk, _SCHEMA))
-    heads = walked.filter(F.col("edge") == "head")
-    tails = walked.filter(F.col("edge") == "tail")
-    # One row per partition: whose head follows its tail.
+    spark = docs.sparkSession
+    # A null id stands below all others.
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), own.alias("at"), F.xxhash64("text").alias("hash"), "text"
+    )
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps = [i / n for i in range(1, n)]
+    bounds = docs.select(own.cast("double").alias("at")).approxQuantile("at", steps, 0.1 / n)
+    bounds = np.array([max(int(b), -(2**63)) for b in bounds], dtype=np.int64)
+    rows = rows.withColumn("part", _parts(bounds)("at", "hash"))
+    # One row per part: its first document in falling order.
+    firsts = settled(rows.groupBy("part").agg(F.max(F.struct("at", "hash")).alias("first")).select("part", "first.*"))
     line = Window.orderBy("part")
-    first = F.min("part").over(Window.partitionBy())
-    follows = heads.select("part", F.coalesce(F.lead("part").over(line), first).alias("follower"))
-    met = tails.join(follows, "part").join(
-        heads.select(F.col("part").alias("follower"), F.col("text").alias("following")), "follower"
+    above = firsts.select(F.coalesce(F.lead("part").over(line), F.min("part").over(Window.partitionBy())).alias("part"), "at", "hash")
+    heads = docs.select(own.alias("at"), F.xxhash64("text").alias("hash"), "text").join(
+        F.broadcast(above), ["at", "hash"]
+    ).dropDuplicates(["part"])
+    shape = ["part", "follows", "doc_id", "at", "hash", "text"]
+    both = rows.withColumn("follows", F.lit(False)).select(shape).unionByName(
+        heads.select("part", F.lit(True).alias("follows"), F.lit(None).cast("long").alias("doc_id"), "at", "hash", "text")
     )
-    ends = met.select("doc_id", "text", "following").mapInArrow(_tails, _SCHEMA)
-    return walked.filter(F.col("edge").isNull()).select(*_RESULT).unionByName(ends.select(*_RESULT))
+    walked = both.repartition("part").sortWithinPartitions("part", "follows", F.desc("at"), F.desc("hash"))
+    return walked.select("part", "follows", "doc_id", "text").mapInArrow(_walk, _SCHEMA)
