@@ -166,7 +166,8 @@ def cut_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     spans = settled(gone.agg(F.collect_set(F.struct("seq", "m")).alias("_spans")))
     keyed = docs.withColumn("_line_key", _key())
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_line_key") == F.col("_key"))
-    return keyed.join(spans, same, "left").withColumn("_cut", F.pandas_udf(_without, _CUT)("text", "_spans")).drop(
+    # The spans grow with the corpus: merged at every size, never broadcast.
+    return keyed.join(spans.hint("merge"), same, "left").withColumn("_cut", F.pandas_udf(_without, _CUT)("text", "_spans")).drop(
         "_doc_id", "_key", "_line_key", "_spans"
     )
 
