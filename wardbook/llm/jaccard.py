@@ -16,9 +16,12 @@ sketches and the answers to the leaders leave a link possible.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -77,7 +80,7 @@ def size_classes(largest: int) -> list[tuple[int, int]]:
 def blocks_of(high: int) -> tuple[int, int]:
     """Number of blocks of a class, and how many of them any two linked sets have equal."""
     differ = 2 * high * (100 - LEAST) // (100 + LEAST)
-    equal = high // 20 + 5
+    equal = high // 32 + 5
     return differ + equal, equal
 
 
@@ -111,8 +114,33 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("id", pa.int64()), ("check", pa.binary()), ("n", pa.int64()), ("need0", pa.int32()), ("need1", pa.int32()), ("sketch", pa.list_(pa.int64()))])
-_SETS_SQL = "doc_id long, place long, id long, check binary, n long, need0 int, need1 int, sketch array<long>"
+def wide_sketch(tokens: np.ndarray) -> bytes | None:
+    """Parities in as many buckets as a large set has shingles; null for sets that the short sketch tells apart."""
+    if len(tokens) <= 64 * SKETCH:
+        return None
+    buckets = 1 << (len(tokens) - 1).bit_length()
+    counts = np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def wide_difference(a: bytes | None, b: bytes | None) -> int:
+    """The least number of shingles in which two sets differ, by their wide sketches."""
+    if a is None or b is None:
+        return 0
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    folded = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ folded).sum())
+
+
+_SETS = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("place", pa.int64()), ("id", pa.int64()), ("check", pa.binary()), ("n", pa.int64()),
+        ("need0", pa.int32()), ("need1", pa.int32()), ("sketch", pa.list_(pa.int64())), ("wide", pa.binary()),
+    ]
+)
+_SETS_SQL = (
+    "doc_id long, place long, id long, check binary, n long, need0 int, need1 int, sketch array<long>, wide binary"
+)
 
 
 class _Classes:
@@ -141,62 +169,71 @@ def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _summaries(batches):
-    words, classes = _Words(), _Classes()
-    for batch in batches:
-        rows = []
-        for doc_id, place, text in _pieces(batch, ("doc_id", "place", "text")):
-            tokens = shingles(text, words)
-            n = len(tokens)
-            if n:
-                needs = [index_entries(tokens, *c)[1] for c in classes.of(n)]
-                rows.append((doc_id, place, set_id(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), n, needs[0], needs[-1], sketch(tokens).tolist()))
-            else:
-                rows.append((doc_id, place, None, None, 0, 0, 0, None))
-            if len(rows) >= 2_000:
-                yield _record(rows, _SETS)
-                rows = []
-        yield _record(rows, _SETS)
-
-
-_ENTRIES = pa.schema([("name", pa.int64()), ("id", pa.int64()), ("role", pa.int32())])
+_ENTRIES = pa.schema([("name", pa.int64()), ("id", pa.int64()), ("role", pa.int32()), ("about", pa.binary())])
+_ABOUT = struct.Struct(f"<?qq16sqii{8 * SKETCH}s")
 
 
 def _entries(batches):
-    """Index entries of each set; copies met again by the same task are left out."""
+    """Index entries of each set, and a row about each document; copies met again by one task make no more entries."""
     words, classes, seen = _Words(), _Classes(), set()
     for batch in batches:
-        names, ids, roles = [], [], []
-        for (text,) in _pieces(batch, ("text",)):
+        names, ids, roles, about = [], [], [], []
+        for doc_id, place, text in _pieces(batch, ("doc_id", "place", "text")):
             tokens = shingles(text, words)
-            if not len(tokens):
-                continue
             own = set_id(tokens)
-            if own in seen:
-                continue
-            if len(seen) > 500_000:
-                seen.clear()
-            seen.add(own)
-            for role, c in enumerate(classes.of(len(tokens))):
-                found = index_entries(tokens, *c)[0]
-                names.append(found)
-                ids.append(np.full(len(found), own, dtype=np.int64))
-                roles.append(np.full(len(found), role, dtype=np.int32))
+            needs = [0, 0]
+            if len(tokens):
+                found = [index_entries(tokens, *c) for c in classes.of(len(tokens))]
+                needs = [need for _, need in found]
+                if own not in seen:
+                    if len(seen) > 500_000:
+                        seen.clear()
+                    seen.add(own)
+                    for role, (entries, _) in enumerate(found):
+                        names.append(entries)
+                        ids.append(np.full(len(entries), own, dtype=np.int64))
+                        roles.append(np.full(len(entries), role, dtype=np.int32))
+            check = xxhash.xxh3_128_digest(tokens.tobytes())
+            head = (doc_id is None, doc_id or 0, place, check, len(tokens), needs[0], needs[-1], sketch(tokens).tobytes())
+            about.append((place, own, 0, _ABOUT.pack(*head) + (wide_sketch(tokens) or b"")))
+        yield _record(about, _ENTRIES)
         if names:
             parts = (np.concatenate(names).view(np.int64), np.concatenate(ids), np.concatenate(roles))
-            whole = pa.RecordBatch.from_arrays([pa.array(p) for p in parts], schema=_ENTRIES)
+            whole = pa.RecordBatch.from_arrays([*map(pa.array, parts), pa.nulls(len(parts[0]), pa.binary())], schema=_ENTRIES)
             for at in range(0, whole.num_rows, 50_000):
                 yield whole.slice(at, 50_000)
 
 
-_LISTS = pa.schema([("name", pa.int64()), ("leader", pa.int64()), ("id", pa.int64()), ("role", pa.int32())])
+def _members(batches):
+    """The rows about documents as columns."""
+    for batch in batches:
+        rows = []
+        for own, about in _pieces(batch, ("id", "about")):
+            none, doc_id, place, check, n, need0, need1, bits = _ABOUT.unpack_from(about)
+            wide = about[_ABOUT.size :] or None
+            rows.append((None if none else doc_id, place, own, check, n, need0, need1, np.frombuffer(bits, np.int64).tolist(), wide))
+        yield _record(rows, _SETS)
+
+
+_LISTS = pa.schema(
+    [("name", pa.int64()), ("leader", pa.int64()), ("id", pa.int64()), ("role", pa.int32()), ("about", pa.binary())]
+)
 
 
 def _lists(batches):
-    """Of entries sorted by list and id, those in lists of two sets or more, with the list's first id."""
+    """Of entries sorted by list and id, those in lists of two sets or more, with the list's first id.
+
+    Rows about documents pass as they are.
+    """
     name = leader = last = None  # of the list that the last batch ended in
     single = None  # its only entry, if it has one
     for batch in batches:
+        told = batch["about"].is_valid()
+        about = batch.filter(told)
+        if about.num_rows:
+            columns = (about["name"], about["id"], about["id"], about["role"], about["about"])
+            yield pa.RecordBatch.from_arrays(list(columns), schema=_LISTS)
+        batch = batch.filter(pc.invert(told))
         names, ids, roles = (batch[c].to_numpy() for c in ("name", "id", "role"))
         again = np.zeros(len(names), dtype=bool)
         again[1:] = (names[1:] == names[:-1]) & (ids[1:] == ids[:-1])
@@ -222,7 +259,8 @@ def _lists(batches):
         single = None if shared[-1] else tuple(x[-1] for x in out)
         name, leader, last = names[-1], leaders[-1], ids[-1]
         if len(parts[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(p, f.type) for p, f in zip(parts, _LISTS, strict=True)], schema=_LISTS)
+            columns = [pa.array(p, f.type) for p, f in zip(parts, _LISTS, strict=False)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(parts[0]), pa.binary())], schema=_LISTS)
 
 
 def _possible() -> Column:
@@ -276,8 +314,21 @@ def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
+def _wide_differences(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([wide_difference(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+
 def _compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Add the exact overlap to settled pairs."""
+    """Add the exact overlap to pairs; those that the wide sketches rule out are dropped."""
+    wide = sets.filter("wide is not null")
+    apart = F.pandas_udf(_wide_differences, "long")("a_wide", "b_wide")
+    pairs = settled(
+        pairs.join(wide.select(F.col("id").alias("a"), F.col("wide").alias("a_wide")), "a", "left")
+        .join(wide.select(F.col("id").alias("b"), F.col("wide").alias("b_wide")), "b", "left")
+        .withColumn("apart", apart)
+        .filter(F.col("apart") * (100 + LEAST) <= (F.col("a_n") + F.col("b_n")) * (100 - LEAST))
+        .drop("a_wide", "b_wide", "apart")
+    )
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     tokens = _tokens(docs, sets, wanted)
     both = pairs.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("a_tokens")), "a").join(
@@ -311,27 +362,30 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every document with the id of its set, and the component of each set that is linked to others."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("place"), "text")
-    members = settled(texts.mapInArrow(_summaries, _SETS_SQL))
+    entries = texts.mapInArrow(_entries, "name long, id long, role int, about binary")
+    found = entries.repartition("name").sortWithinPartitions("name", "id").mapInArrow(
+        _lists, "name long, leader long, id long, role int, about binary"
+    )
+    found = settled(found)
+    members = settled(found.filter("about is not null").select("id", "about").mapInArrow(_members, _SETS_SQL))
+    lists = found.filter("about is null").drop("about")
     sets = settled(
         members.filter("n > 0")
         .groupBy("id")
         .agg(
             F.min(F.struct("doc_id", "place")).alias("first"),
             F.first("n").alias("n"), F.first("need0").alias("need0"), F.first("need1").alias("need1"),
-            F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"),
+            F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
+            F.min("check").alias("low"), F.max("check").alias("high"),
         )
     )
     if not sets.filter("low != high").isEmpty():
         raise ValueError("two sets have one 64-bit id")
-    entries = docs.select("text").mapInArrow(_entries, "name long, id long, role int")
-    sorted_ = entries.repartition("name").sortWithinPartitions("name", "id")
-    lists = settled(sorted_.mapInArrow(_lists, "name long, leader long, id long, role int"))
-
     # Each set against the leader that it meets most often.
     met = lists.filter("id != leader").groupBy("id", "leader").agg(F.count("*").alias("times"))
     best = met.groupBy(F.col("id").alias("b")).agg(F.max_by("leader", F.struct("times", "leader")).alias("a"))
     candidates = best.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").filter(_possible())
-    answers = settled(_compared(docs, sets, settled(candidates.select("a", "b", "a_n", "b_n"))))
+    answers = settled(_compared(docs, sets, candidates.select("a", "b", "a_n", "b_n")))
     links = answers.filter(_linked(F.col("overlap"))).select("a", "b")
     labels = components(links)
 
@@ -360,7 +414,7 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     once = (F.col("b_component") == F.col("main")) | (F.col("a_id") < F.col("b_id"))
     pairs = a.join(b, "name").filter(new & once & _possible())
     pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_n", "b_n").distinct()
-    more = _compared(docs, sets, settled(_derived(pairs, answers)))
+    more = _compared(docs, sets, _derived(pairs, answers))
     links = links.unionByName(more.filter(_linked(F.col("overlap"))).select("a", "b"))
     return members, components(settled(links))
 
