@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import settled
 
@@ -135,11 +135,11 @@ def wide_difference(a: bytes | None, b: bytes | None) -> int:
 _SETS = pa.schema(
     [
         ("doc_id", pa.int64()), ("place", pa.int64()), ("id", pa.int64()), ("check", pa.binary()), ("n", pa.int64()),
-        ("need0", pa.int32()), ("need1", pa.int32()), ("sketch", pa.list_(pa.int64())), ("wide", pa.binary()),
+        ("sketch", pa.list_(pa.int64())), ("wide", pa.binary()),
     ]
 )
 _SETS_SQL = (
-    "doc_id long, place long, id long, check binary, n long, need0 int, need1 int, sketch array<long>, wide binary"
+    "doc_id long, place long, id long, check binary, n long, sketch array<long>, wide binary"
 )
 
 
@@ -170,7 +170,7 @@ def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _ENTRIES = pa.schema([("name", pa.int64()), ("id", pa.int64()), ("role", pa.int32()), ("about", pa.binary())])
-_ABOUT = struct.Struct(f"<?qq16sqii{8 * SKETCH}s")
+_ABOUT = struct.Struct(f"<?qq16sq{8 * SKETCH}s")
 
 
 def _entries(batches):
@@ -181,20 +181,19 @@ def _entries(batches):
         for doc_id, place, text in _pieces(batch, ("doc_id", "place", "text")):
             tokens = shingles(text, words)
             own = set_id(tokens)
-            needs = [0, 0]
             if len(tokens):
                 found = [index_entries(tokens, *c) for c in classes.of(len(tokens))]
-                needs = [need for _, need in found]
                 if own not in seen:
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(own)
-                    for role, (entries, _) in enumerate(found):
+                    # The role in the class, and how many entries the set shares with any partner there.
+                    for role, (entries, need) in enumerate(found):
                         names.append(entries)
                         ids.append(np.full(len(entries), own, dtype=np.int64))
-                        roles.append(np.full(len(entries), role, dtype=np.int32))
+                        roles.append(np.full(len(entries), 2 * need + role, dtype=np.int32))
             check = xxhash.xxh3_128_digest(tokens.tobytes())
-            head = (doc_id is None, doc_id or 0, place, check, len(tokens), needs[0], needs[-1], sketch(tokens).tobytes())
+            head = (doc_id is None, doc_id or 0, place, check, len(tokens), sketch(tokens).tobytes())
             about.append((place, own, 0, _ABOUT.pack(*head) + (wide_sketch(tokens) or b"")))
         yield _record(about, _ENTRIES)
         if names:
@@ -209,9 +208,9 @@ def _members(batches):
     for batch in batches:
         rows = []
         for own, about in _pieces(batch, ("id", "about")):
-            none, doc_id, place, check, n, need0, need1, bits = _ABOUT.unpack_from(about)
+            none, doc_id, place, check, n, bits = _ABOUT.unpack_from(about)
             wide = about[_ABOUT.size :] or None
-            rows.append((None if none else doc_id, place, own, check, n, need0, need1, np.frombuffer(bits, np.int64).tolist(), wide))
+            rows.append((None if none else doc_id, place, own, check, n, np.frombuffer(bits, np.int64).tolist(), wide))
         yield _record(rows, _SETS)
 
 
@@ -374,8 +373,7 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("id")
         .agg(
             F.min(F.struct("doc_id", "place")).alias("first"),
-            F.first("n").alias("n"), F.first("need0").alias("need0"), F.first("need1").alias("need1"),
-            F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
+            F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
             F.min("check").alias("low"), F.max("check").alias("high"),
         )
     )
@@ -392,16 +390,10 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # What is still apart within a list.
     sizes = lists.groupBy("name").agg(F.count("*").alias("length"))
     sized = settled(_labelled(lists.join(sizes, "name").select("name", "id", "role", "length"), labels))
-    long_ = sized.filter(F.col("length") > LONG)
-    least = F.when(F.col("role") == 0, F.col("need0")).otherwise(F.col("need1"))
-    bound = (
-        long_.groupBy("id", "role")
-        .agg(F.count("*").alias("times"))
-        .join(sets.select("id", "need0", "need1"), "id")
-        .filter(F.col("times") >= least)
-        .select("id", "role")
-    )
-    open_ = sized.filter(F.col("length") <= LONG).unionByName(long_.join(bound, ["id", "role"], "left_semi").select(sized.columns))
+    # A set that has fewer entries in long lists than it shares with any partner meets that one in a short list too.
+    times = F.count("*").over(Window.partitionBy("id", "role"))
+    long_ = sized.filter(F.col("length") > LONG).withColumn("times", times).filter("times >= role div 2")
+    open_ = sized.filter(F.col("length") <= LONG).unionByName(long_.drop("times"))
     parts = open_.groupBy("name", "component").agg(F.count("*").alias("k"))
     largest = parts.groupBy("name").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")
