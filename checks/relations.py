@@ -337,8 +337,8 @@ _ORDERS = {
         ),
     ),
     "o2_descending_nulls_first": Check(
-        lambda c: c.t["crncxc"].select("cxcdocume", "oid").orderBy(F.col("cxcdocume").desc_nulls_first()),
-        oracle("select cxcdocume, oid from crncxc order by 1 desc nulls first"),
+        lambda c: c.t["crncxc"].select("cxcdocume", "oid").orderBy(F.col("cxcdocume").desc_nulls_first(), "oid"),
+        oracle("select cxcdocume, oid from crncxc order by 1 desc nulls first, 2"),
     ),
     "o3_by_name": Check(
         lambda c: ordered(c.t["slnfactur"].select("oid", "sfanumfac"), "sfanumfac"),

@@ -119,5 +119,6 @@ def collections(t) -> DataFrame:
         .join(transfer, "transfer")
         .join(receivable, "receivable")
         .select("TRASLADO", "FACTURA", "FECHA_VENCIMIENTO", "FECHA_TRASLADO", "VALOR_TRASLADO", "SALDO_CARTERA")
-        .orderBy(F.col("FACTURA").desc_nulls_first())
+        # The further keys let rows without a document, or of one large one, fall into several ranges.
+        .orderBy(F.col("FACTURA").desc_nulls_first(), "FECHA_TRASLADO", "TRASLADO", "VALOR_TRASLADO")
     )
