@@ -107,7 +107,8 @@ def brute_force(events, stays, as_of, left):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("bucket_days", [1, 7, 400])
-def test_events_in_intervals_equal_comparing_everything(frame, how, bucket_days):
+@pytest.mark.parametrize("years", [None, 20])
+def test_events_in_intervals_equal_comparing_everything(frame, how, bucket_days, years):
     rng = random.Random(bucket_days)
     stays = random_stays(120, seed=9)
     stays += [(1000, 1, datetime(1901, 1, 1), None), (1001, 2, datetime(2020, 1, 1), datetime(9999, 12, 31))]
@@ -121,7 +122,7 @@ def test_events_in_intervals_equal_comparing_everything(frame, how, bucket_days)
     got = attribute_events(
         frame([(e, k, text(a)) for e, k, a in events], "event int, key int, at timestamp_ntz"),
         frame(as_rows(stays), SCHEMA),
-        "key", "at", "start", "end", text(AS_OF), how=how, bucket_days=bucket_days,
+        "key", "at", "start", "end", text(AS_OF), how=how, bucket_days=bucket_days, years=years,
     ).select("event", "stay").collect()
     assert Counter((r.event, r.stay) for r in got) == brute_force(events, stays, AS_OF, how == "left")
 

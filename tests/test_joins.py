@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardbook.operators import joins
-from wardbook.operators.joins import fan_out_left, having, latest_version, repeat_rows, weighted
+from wardbook.operators.joins import fan_out_left, having, latest_version, repeat_rows, weighted, with_partner_count
 from wardbook.operators.sets import ordered, union_all, union_distinct
-from wardbook.sources.staging import known_keys, narrowed, staged
+from wardbook.sources.staging import staged
 
 
 def test_repeat_rows(frame):
@@ -50,12 +50,11 @@ def test_having_does_not_multiply(frame):
     assert [r.parent for r in having(rows, parents, "parent").collect()] == [1]
 
 
-def test_keys_are_known_up_to_a_limit(frame):
-    rows = frame([(1,), (2,), (2,), (None,)], "k int")
-    assert {r.k for r in known_keys(rows, "k", 2).collect()} == {1, 2}
-    assert known_keys(rows, "k", 1) is None
-    assert narrowed(rows, None, "k").count() == 4
-    assert narrowed(rows, known_keys(rows.filter("k = 2"), "k"), "k").count() == 2
+def test_partners_are_counted_without_multiplying(frame):
+    rows = frame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "k int, x string")
+    partners = frame([(2,), (2,), (None,)], "k int")
+    got = {r.x: r.n for r in with_partner_count(rows, partners, "k", "n").collect()}
+    assert got == {"a": None, "b": 2, "c": None, "d": 2}
 
 
 def test_staged_keeps_rows_and_types(frame):

@@ -27,6 +27,20 @@ def test_no_products_and_no_python(spark, name):
     assert "Python" not in text and "Pandas" not in text
 
 
+@pytest.mark.parametrize("name", ["r5_service_followup", "r6_daily_census", "r8_unbilled_services", "r9_service_history"])
+def test_service_reports_are_one_lazy_plan(spark, name, monkeypatch):
+    def eager(*_):
+        raise AssertionError("a job ran while the frame was built")
+
+    frame = type(spark.range(0))
+    for method in ("count", "collect", "first", "isEmpty"):
+        monkeypatch.setattr(frame, method, eager)
+    monkeypatch.setattr(frame, "write", property(eager))
+    text = plan(CHECKS[name].query(spark, SF))
+    if name in ("r5_service_followup", "r6_daily_census"):
+        assert "_bucket" in text and "/wardbook-" not in text
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """Some hospital tables as files, with their declared types."""

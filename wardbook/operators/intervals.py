@@ -22,9 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from wardbook.functions.scalars import _col, instant
 
 
-# Time before this many years ago is not told apart when events are put into buckets.
-_YEARS = 20
-
 
 def _as_date(value) -> date:
     if isinstance(value, datetime):
@@ -187,6 +184,7 @@ def attribute_events(
     as_of,
     how: str = "inner",
     bucket_days: int = 7,
+    years: int | None = None,
 ) -> DataFrame:
     """Pair each event with the intervals of its key that it falls into, start <= event < end.
 
@@ -197,15 +195,17 @@ def attribute_events(
     each bucket it touches, so the pairs are the same as without buckets.
     The key and bucket together spread a key that holds a large share of the
     rows, and only intervals near an event in time are looked at. All time
-    after ``as_of`` is one bucket, and so is all time more than _YEARS before
-    it, which bounds the copies of an interval with a far-off start or end.
+    after ``as_of`` is one bucket, which bounds the copies of an interval that
+    ends in 9999. ``years`` makes one bucket of all time longer before
+    ``as_of`` as well, for tables in which many intervals have a made-up start
+    far back; by default all of the past is told apart.
     """
     own = [c for c in intervals.columns if c != key]
     newest = bucket(instant(as_of), bucket_days) + 1
-    oldest = newest - _YEARS * 366 // bucket_days
 
     def slot(c: str) -> Column:
-        return F.greatest(oldest, F.least(newest, bucket(c, bucket_days)))
+        known = F.least(newest, bucket(c, bucket_days))
+        return known if years is None else F.greatest(newest - years * 366 // bucket_days, known)
 
     spans = (
         intervals.filter(F.col(key).isNotNull())

@@ -38,13 +38,20 @@ def repeat_rows(df: DataFrame, times: str | Column) -> DataFrame:
     return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size")))).select(*columns)
 
 
+def with_partner_count(df: DataFrame, partners: DataFrame, on: str, name: str) -> DataFrame:
+    """The first half of ``fan_out_left``: the number of partners, NULL for none.
+
+    For rows that go through further joins before ``repeat_rows`` multiplies them.
+    """
+    return df.join(count_per(partners, on, name), on, "left")
+
+
 def fan_out_left(df: DataFrame, partners: DataFrame, on: str) -> DataFrame:
     """Left join that projects nothing of the partners: rows repeat once per partner.
 
     The partners shrink to one counter per key before they are shuffled or joined.
     """
-    counted = df.join(count_per(partners, on, "_partners"), on, "left")
-    return repeat_rows(counted, "_partners").select(*df.columns)
+    return repeat_rows(with_partner_count(df, partners, on, "_partners"), "_partners").select(*df.columns)
 
 
 def weighted(df: DataFrame, partners: DataFrame, on: str, weight: str) -> DataFrame:

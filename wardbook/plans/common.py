@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from wardbook.functions.scalars import site_short_name
-from wardbook.sources.staging import narrowed
 from wardbook.sources.tables import pick
 
 
@@ -36,18 +35,17 @@ def stays(t) -> DataFrame:
     return pick(t["hpnestanc"], bed="hpndefcam", admission="adningres", start="hesfecing", end="hesfecsal")
 
 
-def procedures(t, services: DataFrame | None = None) -> DataFrame:
+def procedures(t) -> DataFrame:
     """Procedure part of a service with its code and billing group, where known."""
     part = pick(t["slnserhoj"], service="oid", procedure="genserips1")
     return (
-        narrowed(part, services, "service")
-        .join(pick(t["genserips"], procedure="oid", CUP="sipcodcup", billing_group="genconfac1"), "procedure", "left")
+        part.join(pick(t["genserips"], procedure="oid", CUP="sipcodcup", billing_group="genconfac1"), "procedure", "left")
         .join(pick(t["genconfac"], billing_group="oid", group_name="gcfnombre"), "billing_group", "left")
         .select("service", "CUP", "group_name")
     )
 
 
-def drug_lines(t, services: DataFrame | None = None) -> DataFrame:
+def drug_lines(t) -> DataFrame:
     """Supply lines of the drug part of a service.
 
     A drug part without lines says nothing to a left join, so inner is
@@ -55,7 +53,7 @@ def drug_lines(t, services: DataFrame | None = None) -> DataFrame:
     """
     lines = pick(t["innmsumpa"], service="slnprohoj", line_value="ismvalpro")
     part = pick(t["slnprohoj"], service="oid")
-    return narrowed(lines, services, "service").join(narrowed(part, services, "service"), "service")
+    return lines.join(part, "service")
 
 
 def with_plan(df: DataFrame, t) -> DataFrame:

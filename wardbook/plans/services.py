@@ -15,9 +15,8 @@ from wardbook.functions.scalars import (
     text_if_null,
 )
 from wardbook.operators.intervals import attribute_events
-from wardbook.operators.joins import fan_out_left
+from wardbook.operators.joins import repeat_rows, with_partner_count
 from wardbook.operators.sets import ordered
-from wardbook.sources.staging import FEW_ADMISSIONS, known_keys, narrowed, staged
 from wardbook.sources.tables import pick
 
 from .common import beds, drug_lines, floors, procedures, sites, stays
@@ -26,12 +25,13 @@ _FOLLOWUP_ORDER = ("GRUPO_FAC", "SEDE", "SERVICIO", "NUMINGRESO", "OID")
 _CENSUS_ORDER = ("SEDE", "PISO", "FECHA_INGRESO", "NUMINGRESO", "PACIENTE")
 
 
-def _in_bed(t) -> DataFrame | None:
-    """Keys of the admissions that hold a bed now, at most one per bed."""
-    return known_keys(beds(t).select(F.col("current_admission").alias("admission")), "admission", unique=True)
+def _in_bed(t, df: DataFrame) -> DataFrame:
+    """Cut a large table down to the admissions that hold a bed now, of which there is at most one per bed."""
+    held = beds(t).select(F.col("current_admission").alias("admission"))
+    return df.join(held, "admission", "left_semi")
 
 
-def _patients_in_bed(t, in_bed: DataFrame | None) -> DataFrame:
+def _patients_in_bed(t) -> DataFrame:
     """Patients in bed with discharge, site and floor."""
     bed = beds(t).select("site", "floor", F.col("current_admission").alias("admission"))
     admission = pick(
@@ -40,9 +40,9 @@ def _patients_in_bed(t, in_bed: DataFrame | None) -> DataFrame:
     patient = pick(t["genpacien"], patient="oid", PACIENTE="gpanomcom")
     discharge = pick(t["adnegreso"], admission="adningreso", left_at="adefecsal")
     return (
-        narrowed(admission, in_bed, "admission")
+        _in_bed(t, admission)
         .join(patient, "patient")
-        .join(narrowed(discharge, in_bed, "admission"), "admission", "left")
+        .join(_in_bed(t, discharge), "admission", "left")
         .join(bed, "admission")
         .join(floors(t), "floor")
         .join(sites(t).select("site", "SEDE"), "site")
@@ -64,24 +64,21 @@ def _services(t) -> DataFrame:
 
 
 def _services_in_stays(t, as_of) -> DataFrame:
-    """Services of the patients in bed, paired with the stay that covers them, once per invoice.
+    """Services of the patients in bed, paired with the stay that covers them, and ``_invoices`` of the admission.
 
-    Each large table is cut down to the admissions in bed before anything of
-    it is shuffled. The result is staged: it is far smaller than the tables
-    that its services are looked up in next.
+    Each large table is cut down to the admissions in bed before it meets
+    another. The number of invoices is carried along, so that the rows are
+    multiplied only after the last join.
     """
-    in_bed = _in_bed(t)
     own_stays = (
-        narrowed(stays(t), in_bed, "admission")
+        _in_bed(t, stays(t))
         .join(beds(t).select("bed", "floor"), "bed")
         .join(floors(t).withColumnRenamed("PISO", "ESTANCIA"), "floor")
         .select("admission", "ESTANCIA", "start", "end")
     )
-    own_services = narrowed(_services(t), in_bed, "admission")
-    own_invoices = narrowed(pick(t["slnfactur"], admission="adningreso"), in_bed, "admission")
-    paired = attribute_events(own_services, own_stays, "admission", "served", "start", "end", as_of)
-    with_patient = paired.join(_patients_in_bed(t, in_bed), "admission")
-    return staged(fan_out_left(with_patient, own_invoices, "admission"))
+    own_invoices = _in_bed(t, pick(t["slnfactur"], admission="adningreso"))
+    paired = attribute_events(_in_bed(t, _services(t)), own_stays, "admission", "served", "start", "end", as_of)
+    return with_partner_count(paired.join(_patients_in_bed(t), "admission"), own_invoices, "admission", "_invoices")
 
 
 def _dates_and_spans(as_of) -> list:
@@ -101,8 +98,8 @@ def service_followup(t, as_of) -> DataFrame:
     The price is rounded first and multiplied by the quantity afterwards.
     """
     rows = _services_in_stays(t, as_of)
-    own = known_keys(rows, "service")
-    rows = rows.join(drug_lines(t, own), "service", "left").join(procedures(t, own), "service", "left")
+    rows = rows.join(drug_lines(t), "service", "left").join(procedures(t), "service", "left")
+    rows = repeat_rows(rows, "_invoices")
     price = F.when(F.col("value") == 0, F.col("line_value")).otherwise(F.col("value"))
     charged = F.when(F.col("applied") == 0, price).otherwise(F.lit(0).cast("decimal(18,2)"))
     report = rows.select(
@@ -128,8 +125,8 @@ def daily_census(t, as_of) -> DataFrame:
 
     Sorted by the entry date as printed, that is by its text.
     """
-    rows = _services_in_stays(t, as_of)
-    rows = rows.join(procedures(t, known_keys(rows, "service")), "service", "left")
+    rows = _services_in_stays(t, as_of).join(procedures(t), "service", "left")
+    rows = repeat_rows(rows, "_invoices")
     charged = F.when(F.col("applied") == 0, F.col("value")).otherwise(F.lit(0).cast("decimal(18,2)"))
     report = rows.select(
         "NUMINGRESO",
@@ -146,11 +143,8 @@ def daily_census(t, as_of) -> DataFrame:
     return ordered(report, *_CENSUS_ORDER)
 
 
-def service_volumes(t, services: DataFrame, as_of, own: DataFrame | None = None) -> DataFrame:
-    """Count, quantity and value of services per admission, billing group and site of the stay.
-
-    ``own`` are the keys of the services, if these are few.
-    """
+def service_volumes(t, services: DataFrame, as_of) -> DataFrame:
+    """Count, quantity and value of services per admission, billing group and site of the stay."""
     site_stays = (
         stays(t)
         .join(beds(t).select("bed", "site", "floor"), "bed")
@@ -159,10 +153,7 @@ def service_volumes(t, services: DataFrame, as_of, own: DataFrame | None = None)
         .select("admission", "SEDE_HOSP", "start", "end")
     )
     # All three detail joins run on the service key, so one shuffle of the services serves them.
-    rows = (
-        services.join(drug_lines(t, own), "service", "left")
-        .join(procedures(t, own), "service", "left")
-    )
+    rows = services.join(drug_lines(t), "service", "left").join(procedures(t), "service", "left")
     paired = attribute_events(rows, site_stays, "admission", "served", "start", "end", as_of, how="left")
     price = F.when(F.col("value") == 0, F.col("line_value")).otherwise(F.col("value"))
     return paired.groupBy(
@@ -196,15 +187,9 @@ def service_history(t, year: int, as_of) -> DataFrame:
     ).filter(in_year("entered", year))
     entry_site = sites(t).select("site", F.col("SEDE").alias("SEDE_INGRESO"))
     # Only the year's services take part in the joins on the way to the totals.
-    keys = known_keys(admission, "admission", unique=True)
-    if keys is None:
-        services, own = _services(t).join(admission.select("admission"), "admission", "left_semi"), None
-    else:
-        services = narrowed(_services(t), keys, "admission")
-        few = known_keys(admission, "admission", FEW_ADMISSIONS, unique=True) is not None
-        own = known_keys(services, "service", unique=True) if few else None
+    services = _services(t).join(admission.select("admission"), "admission", "left_semi")
     rows = (
-        service_volumes(t, services, as_of, own)
+        service_volumes(t, services, as_of)
         .join(admission, "admission")
         .join(entry_site, "site")
         .join(billed_totals(t), "admission", "left")

@@ -8,8 +8,6 @@ from wardbook.functions.codes import ADMISSION_TYPE, DOCUMENT_TYPE, PLAN_TYPE
 from wardbook.functions.predicates import number_between, text_between
 from wardbook.functions.scalars import date_text, decode, instant, null_text, round_hundred
 from wardbook.operators.joins import having, latest_version
-from wardbook.operators.sets import union_all
-from wardbook.sources.staging import FEW_ADMISSIONS, known_keys, narrowed
 from wardbook.sources.tables import pick
 
 from .common import with_plan
@@ -93,8 +91,8 @@ def service_orders(t) -> DataFrame:
     )
 
 
-def _services(t, wanted: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Unapplied services of the admissions in full detail, and their keys if these are few."""
+def _services(t, wanted: DataFrame) -> DataFrame:
+    """Unapplied services of the admissions in full detail."""
     service = pick(
         t["slnserpro"],
         service="oid",
@@ -110,19 +108,15 @@ def _services(t, wanted: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         applied="seraplpro",
     )
     physician = pick(t["genmedico"], physician="oid", MEDICOCODIGO="gmecodigo", MEDICONOMBRE="gmenomcom")
-    admissions = known_keys(wanted, "admission", unique=True)
-    service = narrowed(service.filter(F.col("applied") == 0), admissions, "admission")
-    few = known_keys(wanted, "admission", FEW_ADMISSIONS, unique=True) is not None
-    own = known_keys(service, "service", unique=True) if few else None
-    rows = (
-        service.join(_admissions(t, wanted), "admission")
+    return (
+        service.filter(F.col("applied") == 0)
+        .join(_admissions(t, wanted), "admission")
         .join(service_orders(t), "order")
         .join(physician, "physician")
     )
-    return rows, own
 
 
-def drug_details(t, services: DataFrame | None = None) -> DataFrame:
+def drug_details(t) -> DataFrame:
     """Drug part of a service with product and groups, one row per supply line."""
     product = pick(
         t["innproduc"], product="oid", SERVICIO_CODIGO="iprcodigo", group="igrcodigo", subgroup="isgcodigo"
@@ -132,12 +126,12 @@ def drug_details(t, services: DataFrame | None = None) -> DataFrame:
     part = pick(t["slnprohoj"], service="oid", header="inncsumpa1", product="innproduc1")
     lines = pick(t["innmsumpa"], service="slnprohoj", line_value="ismvalpro")
     return (
-        having(narrowed(part, services, "service"), t["inncsumpa"], "header")
+        having(part, t["inncsumpa"], "header")
         .join(product, "product")
         .join(group, "group")
         .join(subgroup, "subgroup")
         .drop("header", "product", "group", "subgroup")
-        .join(narrowed(lines, services, "service"), "service")
+        .join(lines, "service")
     )
 
 
@@ -147,7 +141,7 @@ def tariffs(t) -> DataFrame:
     return latest_version(versions.filter(F.col("manual").isNotNull()), "manual").select("manual", "tariff")
 
 
-def procedure_details(t, services: DataFrame | None = None) -> DataFrame:
+def procedure_details(t) -> DataFrame:
     """Procedure part of a service with catalogue, groups, newest tariff and surgical group."""
     catalogue = pick(
         t["genserips"], procedure="oid", SERVICIO_CODIGO="sipcodigo", group="gengrupos1", subgroup="gensubgru1"
@@ -158,8 +152,7 @@ def procedure_details(t, services: DataFrame | None = None) -> DataFrame:
     manual = pick(t["genmanser"], manual="oid", surgical="gengruqui1")
     part = pick(t["slnserhoj"], service="oid", procedure="genserips1", manual="genmanser1")
     return (
-        narrowed(part, services, "service")
-        .join(catalogue, "procedure")
+        part.join(catalogue, "procedure")
         .join(group, "group")
         .join(subgroup, "subgroup")
         .join(manual, "manual")
@@ -186,24 +179,21 @@ def unbilled_services(
     """Drug and procedure services of open admissions that entered between two instants.
 
     Site bounds given as text compare site codes as text, as numbers by value.
+    Drug and procedure parts are stacked first and meet the services in one
+    join, so the services and what belongs to them are put together once.
     """
     between = text_between if isinstance(site_lo, str) else number_between
     codes = between("CODIGO_CENTROA", site_lo, site_hi)
-    services, own = _services(t, _wanted(t, instant(start), instant(end), codes))
-    quantity, value = F.col("CANTIDAD"), F.col("value")
+    services = _services(t, _wanted(t, instant(start), instant(end), codes))
+    drugs = drug_details(t).withColumn("is_drug", F.lit(True))
+    work = procedure_details(t).withColumn("is_drug", F.lit(False))
+    rows = services.join(drugs.unionByName(work, allowMissingColumns=True), "service")
 
-    drugs = services.join(drug_details(t, own), "service")
+    quantity, value = F.col("CANTIDAD"), F.col("value")
     drug_total = F.when(value == 0, F.col("line_value") * quantity).otherwise(value * quantity)
-    drugs = drugs.withColumn("TOTSER", drug_total.cast(_MONEY))
-
-    work = services.join(procedure_details(t, own), "service")
     price = F.when(F.col("surgical").isNull(), F.col("tariff")).otherwise(value)
-    work = work.withColumn("TOTSER", round_hundred(price * quantity).cast(_MONEY)).withColumn(
-        "GRUPOQUIRURGICO", F.col("surgical").cast("string")
+    total = F.when(F.col("is_drug"), drug_total.cast(_MONEY)).otherwise(round_hundred(price * quantity).cast(_MONEY))
+    known = rows.withColumns(
+        {"TOTSER": total, "GRUPOQUIRURGICO": F.col("surgical").cast("string"), "CANTIDAD_2": quantity}
     )
-
-    def blank(df: DataFrame) -> DataFrame:
-        known = df.withColumn("CANTIDAD_2", F.col("CANTIDAD"))
-        return known.select([F.col(c) if c in known.columns else null_text().alias(c) for c in _COLUMNS])
-
-    return union_all(blank(drugs), blank(work))
+    return known.select([F.col(c) if c in known.columns else null_text().alias(c) for c in _COLUMNS])
