@@ -379,8 +379,8 @@ _SETS = {
         ),
     ),
     "u3_indicator_stack": Check(
-        lambda c: er.emergency_indicators(c.t, EVENTS_AS_OF, codes=("01", "02", "03", "05", "08", "10")),
-        _stack_sql(("01", "02", "03", "05", "08", "10")),
+        lambda c: er.emergency_indicators(c.t, EVENTS_AS_OF, codes=er.CODES),
+        _stack_sql(er.CODES),
     ),
 }
 

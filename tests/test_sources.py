@@ -1,4 +1,5 @@
 from collections import Counter
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -75,6 +76,18 @@ def test_a_rerun_of_a_day_leaves_one_run(spark, frame, tmp_path):
     assert read_back(spark, path, first) == Counter(map(tuple, first.union(second).collect()))
 
 
+def test_a_day_is_written_in_order(spark, frame, tmp_path):
+    rows = [("2024-01-0" + str(1 + i % 2), (i * 7) % 50 if i else None, "x") for i in range(50)]
+    path = f"{tmp_path}/out"
+    publish(frame(rows, "fecha string, i int, s string").repartition(3), path, mode="append", partition="fecha", order=("i",))
+    for day in ("2024-01-01", "2024-01-02"):
+        files = [f for f in Path(f"{path}/fecha={day}").iterdir() if f.name.startswith("part-")]
+        assert len(files) == 1
+        values = [line.split(",")[0].strip('"') for line in files[0].read_text().split("\n")[1:-1]]
+        numbers = [int(v) for v in values if v]
+        assert numbers == sorted(numbers) and len(values) == 25 and "" not in values[:24]
+
+
 def test_plain_append_adds(spark, frame, tmp_path):
     path = f"{tmp_path}/out"
     df = report(frame, "2024-01-01", 2)

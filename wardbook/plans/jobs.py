@@ -17,11 +17,13 @@ from . import admissions, appointments, billing, emergency, occupancy, services
 
 @dataclass(frozen=True)
 class Job:
-    """A report of ``(tables, as_of)``, the folder it goes to and, for reports kept by day, the day's column."""
+    """A report of ``(tables, as_of)``, the folder it goes to and, for reports kept by day, the day's column and the
+    order within a day."""
 
     report: Callable[..., DataFrame]
     folder: str
     partition: str | None = None
+    order: tuple[str, ...] = ()
 
 
 def _end_of_yesterday(as_of) -> datetime:
@@ -40,9 +42,9 @@ def _bed_state(t, as_of) -> DataFrame:
 JOBS = {
     "estancias": Job(
         lambda t, as_of, start=SPINE_START: occupancy.bed_use_history(t, start, _as_date(as_of), as_of),
-        "estancias_uso", "FECHA",
+        "estancias_uso", "FECHA", ("SEDE", "TIPO", "PISO"),
     ),
-    "estancias_anexar": Job(_bed_state, "estancias_estado", "FECHA"),
+    "estancias_anexar": Job(_bed_state, "estancias_estado", "FECHA", ("SEDE", "TIPO", "PISO")),
     "ocupacion": Job(
         lambda t, as_of, start=SPINE_START: occupancy.occupancy_history(t, start, _as_date(as_of)),
         "ocupacion", "FECHA_CONSULTA",
@@ -81,6 +83,6 @@ def run(t, name: str, as_of, folder: str, format: str = "csv", **options) -> str
     job = JOBS[name]
     path = f"{folder.rstrip('/')}/{job.folder}"
     df = job.report(t, as_of, **options)
-    publish(df, path, "append" if job.partition else "overwrite", job.partition, format)
+    publish(df, path, "append" if job.partition else "overwrite", job.partition, format, job.order)
     audit_run(df.sparkSession, name, as_of, f"{folder.rstrip('/')}/log")
     return path

@@ -13,16 +13,20 @@ def publish(
     mode: str = "overwrite",
     partition: str | None = None,
     format: str = "csv",
+    order: tuple[str, ...] = (),
 ) -> None:
     """Write a report as a folder of files.
 
     ``overwrite`` replaces the whole snapshot. ``append`` with ``partition``
     adds the report's days and replaces days already present, so a rerun
     leaves the same rows as one run. ``append`` without it only adds rows.
+    A day's rows lie in its files sorted by ``order``, NULLs last.
     """
     if partition is not None:
         # One folder per day: gather each day's rows first, and let AQE split a day that is too large.
-        df = df.hint("rebalance", partition)
+        df = df.hint("rebalance", partition).sortWithinPartitions(
+            F.col(f"`{partition}`"), *[F.col(f"`{c}`").asc_nulls_last() for c in order]
+        )
     if format == "csv":
         # The writer's own time pattern would drop what is finer than milliseconds.
         df = df.select([F.col(f"`{n}`").cast("string").alias(n) if t.startswith("timestamp") else F.col(f"`{n}`") for n, t in df.dtypes])
