@@ -336,11 +336,18 @@ def _compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.withColumn("overlap", F.pandas_udf(_overlap, "long")("a_tokens", "b_tokens")).drop("a_tokens", "b_tokens")
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Does each u of the edges (u, v), v < u, have one edge, to a v that is no u itself? Then v is the smallest it reaches."""
+    up, down = F.struct(F.col("u").alias("id"), F.lit(1).alias("ups")), F.struct(F.col("v").alias("id"), F.lit(0).alias("ups"))
+    ends = edges.select(F.explode(F.array(up, down)).alias("e")).select("e.id", "e.ups")
+    ends = ends.groupBy("id").agg(F.sum("ups").alias("ups"), F.count("*").alias("n"))
+    return ends.agg(F.count_if(F.expr("ups > 1 or ups = 1 and n > 1"))).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest id reachable from each id of the links (a, b), by large-star and small-star rounds."""
     edges = settled(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -348,10 +355,7 @@ def components(links: DataFrame) -> DataFrame:
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = settled(small.select("e.u", "e.v").filter("u != v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        before = now
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
