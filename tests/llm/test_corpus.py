@@ -156,6 +156,7 @@ def test_join_against_all_pairs(given, folder):
 def test_join_near_the_limit(docs_of, seed, monkeypatch):
     """Chains, copies with edits up to just beyond the limit, sets that share most of a common passage."""
     monkeypatch.setattr(jaccard, "LONG", (64, 3, 8)[seed])
+    monkeypatch.setattr(jaccard, "LOW", (16, 1, 3)[seed])
     rng = np.random.default_rng(seed)
     words = [f"w{i}" for i in range(5000)]
     docs, n = [], 0

@@ -11,7 +11,8 @@ Answers are derived. In every list the first set leads. A set is compared
 with the leader that it meets most often, and what links to one leader
 belongs together without further comparison. The rest, sets of one list that
 are still apart, is compared pair by pair, if bounds from sizes, parity
-sketches and the answers to the leaders leave a link possible.
+sketches and the answers to the leaders leave a link possible; a pair that
+shares many lists is made in the first of them.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ LEAST = 80  # per cent
 # Lists above this length hold only sets that could miss each other in every shorter one.
 LONG = 64
 SKETCH = 16  # words of 64 bits
+# So many names of a set's lists, the smallest, tell in which list it meets another set first.
+LOW = 16
 # Up to this many ids go to every task.
 FEW = 1_000_000
 
@@ -271,6 +274,15 @@ def _possible() -> Column:
     return differ * (100 + LEAST) <= (F.col("a_n") + F.col("b_n")) * (100 - LEAST)
 
 
+def _meet_first() -> Column:
+    """Is this list the first, by name, that a and b share? Unless neither's lowest names tell: then in every list.
+
+    A name that both sets have among their lowest is shared, and so is
+    nothing below it but what is among the lowest of both, too.
+    """
+    return F.coalesce(F.array_min(F.array_intersect("a_low", "b_low")), F.col("name")) == F.col("name")
+
+
 def _linked(overlap) -> Column:
     return 100 * overlap >= LEAST * (F.col("a_n") + F.col("b_n") - overlap)
 
@@ -402,13 +414,16 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     largest = parts.groupBy("name").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")
     ).filter("parts > 1").select("name", "main")
-    apart = settled(open_.join(largest, "name").join(sets.select("id", "n", "sketch"), "id"))
-    columns = ["id", "component", "n", "sketch"]
+    own = Window.partitionBy("id")
+    low = F.when(F.row_number().over(own.orderBy("name")) <= LOW, F.col("name"))
+    rows = open_.join(largest, "name").withColumn("low", low).withColumn("low", F.collect_list("low").over(own))
+    apart = settled(rows.join(sets.select("id", "n", "sketch"), "id"))
+    columns = ["id", "component", "n", "sketch", "low"]
     a = apart.filter("component != main").select("name", *[F.col(c).alias(f"a_{c}") for c in columns])
     b = apart.select("name", "main", *[F.col(c).alias(f"b_{c}") for c in columns])
     new = F.col("a_component") != F.col("b_component")
     once = (F.col("b_component") == F.col("main")) | (F.col("a_id") < F.col("b_id"))
-    pairs = a.join(b, "name").filter(new & once & _possible())
+    pairs = a.join(b, "name").filter(new & once & _possible() & _meet_first())
     pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_n", "b_n").distinct()
     more = _compared(docs, sets, _derived(pairs, answers))
     links = links.unionByName(more.filter(_linked(F.col("overlap"))).select("a", "b"))
