@@ -38,6 +38,16 @@ def test_every_job_publishes_and_logs(spark, t, tmp_path, name):
     assert {r.job for r in log} == {name}
 
 
+def test_a_day_whose_appointments_are_all_gone_is_emptied(spark, t, tmp_path):
+    path = run(t, "consultas", EVENTS_AS_OF, str(tmp_path), start="2024-01-01")
+    before = spark.read.option("header", True).csv(path).select("FECHA").distinct().count()
+    gone = {name: t[name] for name in t} | {"cmncitmed": t["cmncitmed"].limit(0)}
+    run(gone, "consultas_anexar", EVENTS_AS_OF, str(tmp_path))
+    assert spark.read.option("header", True).csv(path).select("FECHA").distinct().count() == before - 1
+    log = spark.read.option("header", True).csv(f"{tmp_path}/log").collect()
+    assert len({r.as_of for r in log}) == 1
+
+
 def test_a_daily_run_adds_to_the_history(spark, t, tmp_path):
     path = run(t, "ocupacion", "2001-06-25 23:59:59", str(tmp_path), start="2001-06-20")
     history = back(spark, path)

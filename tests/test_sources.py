@@ -76,6 +76,17 @@ def test_a_rerun_of_a_day_leaves_one_run(spark, frame, tmp_path):
     assert read_back(spark, path, first) == Counter(map(tuple, first.union(second).collect()))
 
 
+def test_a_covered_day_without_rows_is_emptied(spark, frame, tmp_path):
+    path = f"{tmp_path}/out"
+    days = ["2024-01-01", "2024-01-02", "03/01/2024 07:00"]
+    first, second, third = (report(frame, "2024-01-01", 2).withColumn("fecha", F.lit(day)) for day in days)
+    publish(first.union(second).union(third), path, mode="append", partition="fecha")
+    publish(second.limit(0), path, mode="append", partition="fecha", covers=days[1:])
+    assert read_back(spark, path, first) == Counter(map(tuple, first.collect()))
+    publish(second, path, mode="append", partition="fecha", covers=["2024-01-02", "2024-01-09"])
+    assert read_back(spark, path, first) == Counter(map(tuple, first.union(second).collect()))
+
+
 def test_a_day_is_written_in_order(spark, frame, tmp_path):
     rows = [("2024-01-0" + str(1 + i % 2), (i * 7) % 50 if i else None, "x") for i in range(50)]
     path = f"{tmp_path}/out"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, time, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,13 +17,14 @@ from . import admissions, appointments, billing, emergency, occupancy, services
 
 @dataclass(frozen=True)
 class Job:
-    """A report of ``(tables, as_of)``, the folder it goes to and, for reports kept by day, the day's column and the
-    order within a day."""
+    """A report of ``(tables, as_of)``, the folder it goes to and, for reports kept by day, the day's column, the
+    order within a day and, if days can be without rows, the days that a run covers."""
 
     report: Callable[..., DataFrame]
     folder: str
     partition: str | None = None
     order: tuple[str, ...] = ()
+    covers: Callable[..., list[str]] = lambda as_of, **options: []
 
 
 def _end_of_yesterday(as_of) -> datetime:
@@ -34,6 +35,10 @@ def _with_day(df: DataFrame) -> DataFrame:
     return df.withColumn("FECHA", F.date_format("HORARIO_DE_CITA", "yyyy-MM-dd"))
 
 
+def _days(first: date, last: date) -> list[str]:
+    return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+
 def _bed_state(t, as_of) -> DataFrame:
     at = datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     return occupancy.bed_state(t, at.strftime("%d/%m/%Y %H:%M"))
@@ -67,22 +72,27 @@ JOBS = {
     "indicadores_urgencia": Job(emergency.emergency_indicators, "indic_urg"),
     "consultas": Job(
         lambda t, as_of, start=SPINE_START: _with_day(appointments.appointments_history(t, start, _as_date(as_of))),
-        "consultas", "FECHA",
+        "consultas", "FECHA", covers=lambda as_of, start=SPINE_START: _days(_as_date(start), _as_date(as_of)),
+    ),
+    "consultas_anexar": Job(
+        lambda t, as_of: _with_day(appointments.appointments(t, as_of)),
+        "consultas", "FECHA", covers=lambda as_of: [_end_of_yesterday(as_of).date().isoformat()],
     ),
-    "consultas_anexar": Job(lambda t, as_of: _with_day(appointments.appointments(t, as_of)), "consultas", "FECHA"),
 }
 
 
 def run(t, name: str, as_of, folder: str, format: str = "csv", **options) -> str:
     """Publish one report under ``folder`` and log the run; returns where the report lies.
 
-    Reports kept by day replace the days they bring and leave the others, so
+    Reports kept by day replace the days they cover and leave the others, so
     a history and the daily runs after it can be repeated at will. The other
-    reports replace their last snapshot.
+    reports replace their last snapshot. The log has the time of the run
+    itself and the instant that was asked for.
     """
     job = JOBS[name]
     path = f"{folder.rstrip('/')}/{job.folder}"
     df = job.report(t, as_of, **options)
-    publish(df, path, "append" if job.partition else "overwrite", job.partition, format, job.order)
-    audit_run(df.sparkSession, name, as_of, f"{folder.rstrip('/')}/log")
+    covers = job.covers(as_of, **options)
+    publish(df, path, "append" if job.partition else "overwrite", job.partition, format, job.order, covers)
+    audit_run(df.sparkSession, name, datetime.now(), f"{folder.rstrip('/')}/log", as_of)
     return path

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterable
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wardbook.functions.scalars import instant, stamp_text
 
@@ -14,14 +17,19 @@ def publish(
     partition: str | None = None,
     format: str = "csv",
     order: tuple[str, ...] = (),
+    covers: Iterable[str] = (),
 ) -> None:
     """Write a report as a folder of files.
 
     ``overwrite`` replaces the whole snapshot. ``append`` with ``partition``
     adds the report's days and replaces days already present, so a rerun
-    leaves the same rows as one run. ``append`` without it only adds rows.
-    A day's rows lie in its files sorted by ``order``, NULLs last.
+    leaves the same rows as one run. Days that the report ``covers`` without
+    having rows for them lose the rows of earlier runs. ``append`` without
+    ``partition`` only adds rows. A day's rows lie in its files sorted by
+    ``order``, NULLs last.
     """
+    covers = list(covers)
+    written = None
     if partition is not None:
         # One folder per day: gather each day's rows first, and let AQE split a day that is too large.
         df = df.hint("rebalance", partition).sortWithinPartitions(
@@ -30,6 +38,10 @@ def publish(
     if format == "csv":
         # The writer's own time pattern would drop what is finer than milliseconds.
         df = df.select([F.col(f"`{n}`").cast("string").alias(n) if t.startswith("timestamp") else F.col(f"`{n}`") for n, t in df.dtypes])
+    if partition is not None and mode == "append" and covers:
+        # The days that have rows, told by the write itself: no second run of the report.
+        written = Observation()
+        df = df.observe(written, F.collect_set(F.col(f"`{partition}`").cast("string")).alias("days"))
     writer = df.write.format(format)
     if format == "csv":
         writer = writer.option("header", True)
@@ -39,17 +51,33 @@ def publish(
             mode = "overwrite"
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).save(path)
+    if written is not None:
+        _drop_days(df.sparkSession, path, partition, sorted(set(covers) - set(written.get["days"])))
+
+
+def _drop_days(spark: SparkSession, path: str, partition: str, days: list[str]) -> None:
+    """Remove the folders of the given days, if there are any."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in days:
+        files.delete(at(path, f"{partition}={quote(day, safe=' ')}"), True)
 
 
 def audit(runs: DataFrame, path: str | None = None) -> DataFrame:
-    """Run log: job name and time text of each run in ``runs(job, run_ts)``, appended to ``path`` if given."""
-    log = runs.select("job", stamp_text("run_ts", "dd/MM/yyyy HH:mm").alias("run_time"))
+    """Run log: job name and time text of each run in ``runs(job, run_ts)``, appended to ``path`` if given.
+
+    A column ``as_of``, the instant a report was asked for, goes with them.
+    """
+    more = [stamp_text("as_of", "dd/MM/yyyy HH:mm:ss").alias("as_of")] if "as_of" in runs.columns else []
+    log = runs.select("job", stamp_text("run_ts", "dd/MM/yyyy HH:mm").alias("run_time"), *more)
     if path is not None:
         log.write.mode("append").option("header", True).csv(path)
     return log
 
 
-def audit_run(spark: SparkSession, job: str, run_ts, path: str | None = None) -> DataFrame:
-    """Log one run."""
+def audit_run(spark: SparkSession, job: str, run_ts, path: str | None = None, as_of=None) -> DataFrame:
+    """Log one run, with the instant that it was asked for if given."""
     runs = spark.range(1).select(F.lit(job).alias("job"), instant(run_ts).alias("run_ts"))
+    if as_of is not None:
+        runs = runs.withColumn("as_of", instant(as_of))
     return audit(runs, path)
