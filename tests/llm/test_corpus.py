@@ -108,6 +108,33 @@ def test_classifier_edges(edges, nothing, spark):
     assert cotraining.keep_good(edges, labels).columns == edges.columns
 
 
+def test_classifier_learns_from_all_unlabelled_documents(spark):
+    """The rounds in Spark are those over all documents in memory; there are more than any sample held."""
+    rng = np.random.default_rng(5)
+    n = 21_000
+    good = rng.random(n) < 0.5
+    texts = [" ".join(rng.choice(["some", "plain", "words", "here."] if g else ["!!", "|", "BUY", "words"], 4 + i % 9)) for i, g in enumerate(good)]
+    rows = [(i, t, "en", f"s{int(g) + 2 * (i % 3)}") for i, (t, g) in enumerate(zip(texts, good, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, int(good[i])) for i in range(300)], "doc_id long, quality long")
+    found = cotraining.features(docs).toArrow().sort_by("doc_id")
+    content, metadata = cotraining._unpacked(found["packed"].to_pylist())
+    known = np.where(np.arange(n) < 300, good, np.nan)
+    expected = cotraining.cotrain(content, metadata, known, found["luck"].to_numpy())
+    got = cotraining.train(docs, labels)
+    assert np.allclose(got.mean, expected.mean) and np.allclose(got.scale, expected.scale)
+    assert np.allclose(got.content, expected.content, atol=1e-4) and np.allclose(got.metadata, expected.metadata, atol=1e-4)
+    assert np.allclose(got.mean[:-1], content.mean(0)[:-1])
+
+
+def test_cut_takes_the_wanted_share():
+    counts = np.array([50, 0, 10, 3])
+    assert cotraining._cut(counts, 3) == (3, 1.0)
+    assert cotraining._cut(counts, 8) == (2, 0.5)
+    assert cotraining._cut(counts, 13) == (2, 1.0)
+    assert cotraining._cut(counts, 100) == (0, 1.0)
+
+
 # N-gram Jaccard join
 
 
