@@ -241,6 +241,21 @@ def test_index_guarantee():
             assert shared >= 1
 
 
+def test_index_need_holds_for_each_set():
+    """A set that lists its empty blocks, and a linked one that has fewer and lists none."""
+    number, high = 3, 10
+    blocks, equal = jaccard.blocks_of(high)
+    token = lambda block, low: (((block << 32) // blocks + 7) << 32) + low
+    x = [token(i % 2, i) for i in range(8)]
+    y = [*x, token(3, 1), token(4, 1)]
+    x, y = (np.array(sorted(t), dtype=np.uint64) for t in (x, y))
+    a, need_a = jaccard.index_entries(x, number, high)
+    b, need_b = jaccard.index_entries(y, number, high)
+    assert len(a) == blocks and len(b) < blocks
+    met = len(np.intersect1d(a, b))
+    assert met >= need_a >= 1 and met >= need_b >= 1
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     found = {r["id"]: r["component"] for r in jaccard.components(links).collect()}

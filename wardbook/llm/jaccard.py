@@ -91,7 +91,9 @@ def index_entries(tokens: np.ndarray, number: int, high: int) -> tuple[np.ndarra
     """The list names of a set within one class, and how many of them it shares at least with any linked set.
 
     Empty blocks make no entries while the equal blocks outnumber them;
-    beyond that they count like any other content.
+    beyond that they count like any other content. A partner may have fewer
+    empty ones and list none, so all but one of the equal blocks can be empty
+    and unlisted there.
     """
     blocks, equal = blocks_of(high)
     block = ((tokens >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
@@ -102,7 +104,7 @@ def index_entries(tokens: np.ndarray, number: int, high: int) -> tuple[np.ndarra
     if empty >= equal:
         gaps = np.setdiff1d(np.arange(blocks, dtype=np.uint64), at)
         at, content = np.concatenate([at, gaps]), np.concatenate([content, np.zeros(len(gaps), np.uint64)])
-        empty = 0
+        empty = equal - 1
     names = _mixed(content + _mixed(at * np.uint64(1 << 20) + np.uint64(number)))
     return names, equal - empty
 
