@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 
 from wardbook.llm import bpe, licenses, pii, quality, queries, sharding, spotsigs
 
@@ -314,6 +315,50 @@ def test_fingerprint_round_trip_and_pruning():
 # Empty tables
 
 
+@pytest.mark.parametrize("least", [44, 80, 100])
+def test_near_sets_against_all_pairs(given, edges, docs_of, least):
+    rng = np.random.default_rng(least)
+    words = np.array(["the", "of", "und", *[f"word{i}" for i in range(60)]])
+    made = []
+    for i in range(12):
+        text = list(rng.choice(words, rng.integers(1, 150)))
+        made.append((100 * i, " ".join(text)))
+        for k in range(1, 5):
+            text[rng.integers(len(text))] = str(rng.choice(words))
+            text += list(rng.choice(words, rng.integers(0, 3)))
+            made.append((100 * i + 17 * k, " ".join(text)))
+    for df in (given("documents"), edges, docs_of(made + [(5000, made[7][1])])):
+        members, pairs = spotsigs.near_sets(df, least)
+        rows = df.select("doc_id", "text").collect()
+        own = {r["set"]: r["n"] for r in members.collect()}
+        assert members.count() == len(rows)
+        sets = {}
+        for r in rows:
+            x = spotsigs.signatures(r["text"])
+            sets[xxhash.xxh3_128_digest(x.astype("<u4").tobytes())] = frozenset(x.tolist())
+        assert {k: len(x) for k, x in sets.items()} == own
+        names = [k for k in sorted(sets, key=lambda k: (len(sets[k]), k)) if sets[k]]
+        expected = {}
+        for i, a in enumerate(names):
+            for b in names[i + 1 :]:
+                both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+                if 100 * both >= least * either:
+                    expected[a, b] = both / either
+        got = [((bytes(r["a"]), bytes(r["b"])), r["near"]) for r in pairs.collect()]
+        assert len(got) == len(dict(got)) and dict(got) == expected
+    assert least == 100 or expected
+
+
+@pytest.mark.parametrize("least", [30, 50, 80, 99, 100])
+def test_linked_lengths_are_in_neighbouring_partitions(least):
+    lows = np.array(spotsigs.length_partitions(2000, least))
+    n = np.arange(1, 2001)
+    at = np.searchsorted(lows, n, "right") - 1
+    longest = n * 100 // least
+    reach = np.searchsorted(lows, np.minimum(longest, 2000), "right") - 1
+    assert (reach - at <= 1).all()
+
+
 @pytest.mark.parametrize("name", ["rate", "encode", "shard", "scan", "pii", "spots"])
 def test_empty_table(nothing, name):
     ranks = [(bytes([i]), i) for i in range(256)]

@@ -5,6 +5,10 @@ content words behind it. Common words are spread evenly over prose and rare
 in tables, menus and lists, so the set of these signatures follows a
 document's running text. Texts without common words would have no
 signatures; so words whose hash ends in three zero bits are anchors too.
+
+Near copies are found by ``near_sets``: distinct signature sets are
+partitioned by length, so that linked ones lie in one partition or in
+neighbouring ones, and meet there on their rarest signatures.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import settled
 
 CHAIN = 2
+LEAST = 80  # per cent
 
 # Common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -99,7 +104,7 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     short, long = sorted((len(a), len(b)))
     if long == 0:
         return 1.0
-    if short < least * long:
+    if short / long < least:
         return 0.0
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (short + long - both)
@@ -209,3 +214,91 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     walked = both.repartition("part").sortWithinPartitions("part", "follows", F.desc("at"), F.desc("hash"))
     return walked.select("part", "follows", "doc_id", "text").mapInArrow(_walk, _SCHEMA)
+
+
+def length_partitions(longest: int, least: int = LEAST) -> list[int]:
+    """Lowest length of each partition; sets that are linked lie in one partition or in neighbouring ones."""
+    lows = [1]
+    while lows[-1] <= longest:
+        lows.append(max(lows[-1], lows[-1] * 100 // least) + 1)
+    return lows
+
+
+def _partition(least: int):
+    """Number of a length's partition, and whether a set of that length can be linked to one of the next."""
+
+    @F.pandas_udf("part long, next boolean")
+    def part(n: pd.Series) -> pd.DataFrame:
+        own = n.to_numpy(dtype=np.int64)
+        lows = np.array(length_partitions(int(own.max(initial=1)), least), dtype=np.int64)
+        at = np.searchsorted(lows, own, "right") - 1
+        return pd.DataFrame({"part": at, "next": 100 * own >= least * lows[at + 1]})
+
+    return part
+
+
+def _spots(batches):
+    """The signature set of each document, named by its digest."""
+    cache, schema = _Words(), pa.schema([("doc_id", pa.int64()), ("set", pa.binary()), ("n", pa.int64()), ("spots", pa.binary())])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            rows = []
+            for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
+                spots = signatures(text, cache)
+                own = spots.astype("<u4").tobytes()
+                rows.append((doc_id, xxhash.xxh3_128_digest(own), len(spots), own))
+            columns = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _listed(spots: pd.Series) -> pd.Series:
+    return pd.Series([np.frombuffer(x, dtype="<u4").astype(np.int64) for x in spots], dtype=object)
+
+
+def near_sets(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Every document with the name of its signature set, and all pairs of distinct sets with a Jaccard of ``least`` per cent.
+
+    Columns are doc_id, set, n and a, b, near; of a pair a is the shorter set,
+    or at equal length the one with the lower name. Documents with equal sets
+    share a name and make no pairs; the empty set is in none. An empty table
+    gives no rows.
+
+    The signatures of a set stand from rare to common. Two linked sets of n
+    and m share one among the first n - least * n + 1 and m - least * m + 1,
+    and from the first one that they share on enough are left in both. Pairs
+    whose lengths or positions don't allow it are never compared.
+    """
+    if not 0 < least <= 100:
+        raise ValueError("least is a share in per cent")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = settled(texts.mapInArrow(_spots, "doc_id long, set binary, n long, spots binary"))
+    sets = settled(found.filter("n > 0").dropDuplicates(["set"]).select("set", "n", "spots"))
+    each = sets.select("set", "n", F.explode(F.pandas_udf(_listed, "array<long>")("spots")).alias("sig"))
+    often = each.groupBy("sig").agg(F.count("*").alias("often"))
+    ranked = each.join(often, "sig").groupBy("set", "n").agg(F.array_sort(F.collect_list(F.struct("often", "sig"))).alias("sigs"))
+    first = F.expr(f"cast(n - (n * {least} + 99) div 100 + 1 as int)")
+    entries = ranked.select("set", "n", F.posexplode(F.slice("sigs", F.lit(1), first)).alias("pos", "s")).filter("s.often > 1")
+    entries = settled(entries.withColumn("p", _partition(least)("n")).select("set", "n", "pos", "s.sig", "p.*"))
+    b = entries.select("part", "sig", F.col("set").alias("b"), F.col("n").alias("b_n"), F.col("pos").alias("b_pos"))
+    shape = ["part", "sig", F.col("set").alias("a"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos")]
+    a = entries.withColumn("below", F.lit(False)).unionByName(
+        entries.filter("next").withColumn("part", F.col("part") + 1).withColumn("below", F.lit(True))
+    ).select(*shape, "below")
+    shorter = F.col("below") | (F.struct("a_n", "a") < F.struct("b_n", "b"))
+    lengths = 100 * F.col("a_n") >= least * F.col("b_n")
+    left = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    positions = left * (100 + least) >= least * (F.col("a_n") + F.col("b_n"))
+    pairs = settled(a.join(b, ["part", "sig"]).filter(shorter & lengths & positions).select("a", "b").distinct())
+    spots = sets.select("set", "spots")
+    both = pairs.join(spots.select(F.col("set").alias("a"), F.col("spots").alias("a_spots")), "a").join(
+        spots.select(F.col("set").alias("b"), F.col("spots").alias("b_spots")), "b"
+    )
+
+    @F.pandas_udf("double")
+    def near(x: pd.Series, y: pd.Series) -> pd.Series:
+        parsed = ((np.frombuffer(s, dtype="<u4"), np.frombuffer(t, dtype="<u4")) for s, t in zip(x, y, strict=True))
+        return pd.Series([likeness(s, t, least / 100) for s, t in parsed], dtype="float64")
+
+    compared = both.select("a", "b", near("a_spots", "b_spots").alias("near"))
+    return found.select("doc_id", "set", "n"), compared.filter(F.col("near") >= least / 100)
