@@ -343,6 +343,30 @@ def test_shard_counts_sum_to_slots():
         assert counts.sum() == 101 and (np.abs(counts - 101 * p) <= 2).all()
 
 
+def test_small_sources_reach_their_target(docs_of):
+    """Sources of a few blocks beside a large one, over many shards: all that are wanted in full are taken in full."""
+    rows = [(i, " ".join(["hot"] * 500), None, "hot") for i in range(400)]
+    rows += [(1000 + i, " ".join(["w"] * (mixing.BLOCK * (1 + i % 5))), None, f"small{i:02}") for i in range(40)]
+    docs = docs_of(rows)
+    taken, target, size = defaultdict(int), {}, {}
+    found = mixing.mixed(docs, slots=64).join(docs.select("doc_id", "source"), "doc_id").collect()
+    for r in found:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]], size[r["source"]] = r["target"], r["source_size"]
+    full = [s for s in size if target[s] == 2 * size[s]]
+    assert len(full) == 40
+    assert all(taken[s] == 2 * size[s] for s in full)
+    assert taken["hot"] == pytest.approx(target["hot"], abs=2 * mixing.BLOCK)
+
+
+def test_draws_of_all_shards_add_up():
+    p = np.array([0.7, 0.2999, 0.0001])
+    want = p * 20_000
+    counts = [mixing.shard_counts(i, 100, p, 3, np.ceil(want).astype(int), 20_000.0) for i in range(201)]
+    assert (np.abs(np.sum(counts, 0) - want) <= 1).all() and np.min(counts) >= 0
+    assert all(c.sum() == 100 for c in counts[:199])
+
+
 # Pipeline
 
 

@@ -2,9 +2,10 @@
 
 1. Documents of a source stand in a fixed pseudorandom order; their words,
    end to end, are cut into blocks of ``BLOCK`` words.
-2. The mix is a row of slots, dealt to output shards of ``SLOTS`` each. Every
-   shard draws how many of its slots each source fills: the whole part of
-   its share for certain, the rest by a multinomial draw seeded by the shard.
+2. The mix is a row of slots, dealt to output shards of ``SLOTS`` each. The
+   slots of a source stand at even distances from a seeded start, and a shard
+   holds the next ``SLOTS`` of all. So the draws of all shards add up to what
+   each source has to give, and each shard counts its own without the others.
 3. A source's slots are counted through all shards, and the j-th of them
    takes block ``permutation(j)``: a pass over all blocks in pseudorandom
    order, then a second one in another order.
@@ -79,15 +80,31 @@ def permutation(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def shard_counts(shard: int, slots: int, probabilities: np.ndarray, seed: int) -> np.ndarray:
-    """How many of a shard's slots each source fills."""
-    wanted = slots * probabilities
-    whole = np.floor(wanted).astype(np.int64)
-    rest = slots - int(whole.sum())
-    if rest:
-        part = wanted - whole
-        whole += np.random.default_rng([seed, shard]).multinomial(rest, part / part.sum())
-    return whole
+def _dealt(at: float, probabilities: np.ndarray, starts: np.ndarray, most: np.ndarray | None) -> np.ndarray:
+    """Slots of each source up to a point of the row."""
+    n = np.floor(at * probabilities + starts).astype(np.int64)
+    return n if most is None else np.minimum(n, most)
+
+
+def shard_counts(shard: int, slots: int, probabilities: np.ndarray, seed: int, most: np.ndarray | None = None, end: float | None = None) -> np.ndarray:
+    """How many of a shard's slots each source fills; ``most`` bounds those of all shards, ``end`` is the length of the row."""
+    starts = np.random.default_rng(seed).random(len(probabilities))
+
+    def boundary(wanted: int) -> float:
+        """The first point up to which so many slots are dealt, the same for both shards beside it."""
+        low, high = 0.0, float(wanted + len(probabilities) + 1) if end is None else end
+        if not wanted or _dealt(high, probabilities, starts, most).sum() <= wanted:
+            return high if wanted else low
+        for _ in range(64):
+            middle = (low + high) / 2
+            if _dealt(middle, probabilities, starts, most).sum() >= wanted:
+                high = middle
+            else:
+                low = middle
+        return high
+
+    first, last = (_dealt(boundary(wanted), probabilities, starts, most) for wanted in (shard * slots, (shard + 1) * slots))
+    return last - first
 
 
 def _words(docs: DataFrame, row) -> DataFrame:
@@ -158,13 +175,14 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     per_slot = np.array([sizes[s] / b if b else 1.0 for s, b in zip(names, n_blocks, strict=True)])
     want = np.array([wanted[s] for s in names]) / per_slot
     n_slots = int(round(want.sum()))
-    n_shards = -(-n_slots // slots)
     probabilities = want / want.sum() if n_slots else want
+    end, limits = float(want.sum()), int(most) * n_blocks
+    n_shards = -(-int(_dealt(end, probabilities, np.random.default_rng(seed).random(len(names)), limits).sum()) // slots)
 
     def drawn(frames):
         for frame in frames:
             for shard in frame["id"]:
-                counts = shard_counts(int(shard), min(slots, n_slots - int(shard) * slots), probabilities, seed)
+                counts = shard_counts(int(shard), slots, probabilities, seed, limits, end)
                 yield pd.DataFrame({"shard": int(shard), "number": np.arange(len(counts), dtype=np.int32), "n": counts})
 
     counts = spark.range(n_shards).mapInPandas(drawn, "shard long, number int, n long")
@@ -176,8 +194,6 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
             for shard, number, n, first in frame[["shard", "number", "n", "first"]].itertuples(index=False):
                 j = np.arange(first, first + n, dtype=np.int64)
                 total = int(n_blocks[number])
-                # Beyond the allowed passes a slot stays empty.
-                j = j[j < int(most) * total]
                 for turn in range(int(most)):
                     own = j[(j >= turn * total) & (j < (turn + 1) * total)] - turn * total
                     if len(own):
