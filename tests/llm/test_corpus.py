@@ -59,6 +59,18 @@ def test_tight_runs():
     assert lines.tight_runs([], 5) == []
 
 
+def test_equal_rows_make_their_runs_once(docs_of):
+    """Rows with equal id and text, whose lines are found elsewhere too."""
+    text = "\n".join(" ".join(f"a{i}b{k}" for k in range(4)) for i in range(6))
+    other = "first of all\n" + text
+    docs = docs_of([(None, text)] * 40 + [(7, text)] * 30 + [(8, other)])
+    runs = lines.repeated_runs(docs, least=6).select("doc_id", "key", "seq", "m").collect()
+    assert len(runs) == len(set(runs)) > 0
+    got = lines.line_report(docs, least=6).collect()
+    assert len(got) == 71
+    assert {(r["doc_id"], r["n_lines"], r["n_cut"]) for r in got} == {(None, 6, 0), (7, 6, 6), (8, 7, 6)}
+
+
 def test_line_dedup_edges(edges, nothing):
     assert lines.dedup_lines(nothing).collect() == []
     before = edges.collect()

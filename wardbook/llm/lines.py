@@ -99,7 +99,8 @@ def repeated_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Later copies of repeated runs: doc_id, key, first line and number of lines. Lines without words don't count."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("key"), "text")
     lines = texts.mapInPandas(_lines(least), "doc_id long, key long, seq int, r1 long, r2 long, runs array<int>")
-    ranks = settled(_ranked(lines))
+    # Rows with equal id and text have equal places and would meet one another in every join below.
+    ranks = settled(_ranked(lines).distinct())
     longest = ranks.agg(F.max(F.array_max("runs"))).first()[0] or 0
     runs, size = None, 1
     while size <= longest:
