@@ -265,6 +265,12 @@ def test_pii_finds_more_than_the_base(given):
     assert all(s == sorted(s) for s in starts)
 
 
+@pytest.mark.parametrize("after", ["", " on page 7", " and me [at] home.org"])
+def test_pii_proposes_secrets_in_texts_without_digits(after):
+    text = "log in with password=correct-horse-battery" + after
+    assert ("secret", 12, 42) in [m[:3] for m in pii.candidates(text)[1]]
+
+
 def test_expectation_maximisation_trusts_reliable_labelers():
     rng = np.random.default_rng(5)
     truth = rng.random(4000) < 0.5

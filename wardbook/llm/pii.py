@@ -33,6 +33,8 @@ _LOOSE = (
     ("phone", re.compile(r"(?<![0-9+.])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")),
     ("secret", re.compile(r"(?:password|passwd|token|api_key|secret) ?[=:] ?\"?[A-Za-z0-9_-]{8,128}")),
 )
+# Without these a loose pattern of the kind has no match.
+_NEEDED = {"email": re.compile(r"at[)\]]"), "phone": re.compile("[0-9]"), "secret": re.compile("[=:]")}
 _ORDER = {kind: i for i, kind in enumerate((*KINDS, "secret"))}
 
 # Gazetteers and cue words.
@@ -121,10 +123,9 @@ def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
             base.append((kind, start, end))
         elif kind != "card" or end - start >= 12:
             more.append((kind, start, end, False))
-    if re.search(r"[0-9]|\[at\]|\(at\)", text):
-        for kind, pattern in _LOOSE:
-            if kind != "email" or "at)" in text or "at]" in text:
-                more += [(kind, m.start(), m.end(), False) for m in pattern.finditer(text)]
+    for kind, pattern in _LOOSE:
+        if _NEEDED[kind].search(text):
+            more += [(kind, m.start(), m.end(), False) for m in pattern.finditer(text)]
     taken = sorted((s, e) for _, s, e in base)
     kept = []
     for kind, start, end, _ in sorted(more, key=lambda x: (x[1], -x[2])):
