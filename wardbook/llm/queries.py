@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, cotraining, jaccard, licenses, lines, mixing, pii, quality, sharding, spotsigs
+from . import bpe, cotraining, jaccard, langid, licenses, lines, merkle, mixing, pii, quality, search, sharding, spotsigs
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -65,11 +65,27 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by naive Bayes, learned from the documents that are not held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every row, its way to the root and whether it still leads there."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_bpe, op3_sharding, op4_line_dedup, op5_license_scan, op6_quality_classifier,
-        op7_ngram_jaccard, op8_mixing, op9_pii, op10_spotsigs,
+        op7_ngram_jaccard, op8_mixing, op9_pii, op10_spotsigs, op11_language_id, op12_merkle_manifest,
+        op13_lexical_search,
     )
 }
 
