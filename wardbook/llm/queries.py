@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, cotraining, jaccard, langid, licenses, lines, merkle, mixing, pii, quality, search, sharding, spotsigs
+from . import bpe, cotraining, jaccard, langid, licenses, lines, merkle, mixing, oracle, pii, quality, search, sharding, spotsigs
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -89,4 +89,4 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_merkle_manifest": oracle.MERKLE, "op13_lexical_search": oracle.SEARCH}
