@@ -1,6 +1,7 @@
 """What the plans must and must not contain."""
 
 import re
+from collections import Counter
 
 import pytest
 
@@ -9,7 +10,8 @@ from checks.case import Context
 from checks.samples import EVENTS_AS_OF, ORDERS_AS_OF
 from wardbook.functions.predicates import between_instants, last_24_hours
 from wardbook.operators.intervals import active_at
-from wardbook.plans import common, occupancy
+from wardbook.plans import common, emergency, occupancy
+from wardbook.sources.staging import staged as sources_staged
 from wardbook.sources.tables import open_tables
 
 SF = "/root/testdata/sf0.001"
@@ -51,6 +53,34 @@ def stored(spark, tmp_path_factory):
     return open_tables(spark, str(folder))
 
 
+EMERGENCY = (
+    "adncenate", "hpndefcam", "cmnconsul", "hcnfolio", "hcntiphis", "adningreso", "adnegreso", "hcntriage", "hcnclaurgtr", "genpacien",
+    "hcninyacc", "hcniyaevts", "adndiaegr", "gendiagno", "slnserpro", "hcnrefer", "gendetcon", "cmncitmed", "cmntipact", "cmnhormed", "genespeci",
+)
+
+
+def test_indicators_write_once_and_read_each_large_table_once(spark, tmp_path, monkeypatch):
+    t = Context(spark, SF).t
+    for name in EMERGENCY:
+        t[name].write.parquet(f"{tmp_path}/{name}.parquet")
+    stored = open_tables(spark, str(tmp_path))
+    staged = []
+    monkeypatch.setattr(emergency, "staged", lambda df: staged.append(df) or sources_staged(df))
+    report = emergency.emergency_indicators(stored, EVENTS_AS_OF)
+    assert len(staged) == 1
+    scans = [Counter(re.findall(r"/(\w+)\.parquet\]", plan(df))) for df in (staged[0], report)]
+    both = scans[0] + scans[1]
+    for name in ("adningreso", "hcntriage", "hcninyacc", "hcniyaevts", "adndiaegr", "slnserpro", "hcnrefer", "cmncitmed"):
+        assert both[name] == 1, (name, both)
+    # The day's rows on one side, those of all time for the day's admissions on the other.
+    assert scans[0]["hcnfolio"] == scans[1]["hcnfolio"] == scans[0]["adnegreso"] == scans[1]["adnegreso"] == 1
+    assert scans[0]["genpacien"] == 1 and scans[1]["genpacien"] == 2
+    for code in emergency.CODES:
+        staged.clear()
+        emergency.emergency_indicators(stored, EVENTS_AS_OF, codes=(code,))
+        assert len(staged) == (code not in ("01", "02", "04", "07"))
+
+
 def test_instants_reach_the_scan(stored):
     text = plan(active_at(common.stays(stored), ORDERS_AS_OF))
     pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text).group(1)
