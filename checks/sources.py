@@ -7,15 +7,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from wardbook.functions.scalars import day_bounds, parse_ymd
 from wardbook.operators.intervals import DailySpine, active_daily, date_spine
-from wardbook.plans import appointments as app, occupancy as occ
+from wardbook.plans import appointments as app, occupancy as occ, services
 from wardbook.plans.common import stays
 from wardbook.sources.publish import audit, publish
 from wardbook.sources.staging import shared_folder
-from wardbook.sources.tables import load
+from wardbook.sources.tables import HospitalTables, load
 
 from .case import Check, Context, dmy, oracle
-from .reports import END_DAY, EVENTS_FIRST, EVENTS_LAST, FECHA, R1, R3, R17, START_DAY, _spine
-from .samples import ORDERS_AS_OF
+from .reports import CHECKS as REPORTS, END_DAY, EVENTS_FIRST, EVENTS_LAST, FECHA, R1, R3, R17, START_DAY, _spine
+from .samples import ORDERS_AS_OF, YEAR
 
 
 def _read_csv(c: Context, path: str, schema: StructType) -> DataFrame:
@@ -28,6 +28,17 @@ def _loaded(c: Context) -> DataFrame:
     return load(c.spark, "hpndefcam", folder)
 
 
+def _over_files(c: Context) -> DataFrame:
+    """A report over tables that were stored and are read with their declared types."""
+    folder = shared_folder(c.spark)
+
+    def stored(name: str) -> DataFrame:
+        publish(c.t[name], f"{folder}/{name}.parquet", format="parquet")
+        return load(c.spark, name, folder)
+
+    return services.service_history(HospitalTables(stored), YEAR, ORDERS_AS_OF)
+
+
 def _snapshot(c: Context) -> DataFrame:
     report, path = occ.occupancy(c.t, ORDERS_AS_OF), shared_folder(c.spark)
     publish(report, path)
@@ -89,6 +100,7 @@ CHECKS = {
             "cast(hpngrupos as bigint) hpngrupos, hcaestado, hcacodigo, hcaobshos, adningreso from hpndefcam)"
         ),
     ),
+    "s1_report_over_stored_tables": Check(_over_files, REPORTS["r9_service_history"].sql),
     "s2_snapshot_publish": Check(_snapshot, R1),
     "s3_incremental_publish": Check(
         _incremental,

@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 from pathlib import Path
 from types import SimpleNamespace
@@ -6,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardbook.sources.publish import audit_run, publish
-from wardbook.sources.schemas import TABLES, schema
+from wardbook.sources.schemas import GROWING, TABLES, schema
 from wardbook.sources.staging import shared_folder
-from wardbook.sources.tables import FileSource, HospitalTables, JdbcSource, load, open_tables, pick
+from wardbook.sources.tables import FileSource, HospitalTables, JdbcSource, Split, load, open_tables, pick
 
 
 def test_every_table_has_a_schema():
@@ -36,6 +37,9 @@ def test_load_csv(spark, tmp_path):
     assert {r.oid for r in load(spark, "hcntiphis", source).collect()} == {3, 4}
 
 
+WITHOUT_KEY = {"hpnestanc", "adndiaegr", "innmsumpa", "crnradfacd", "crnmtrasl", "cmnconsul", "hcnrefer", "hcniyaevts"}
+
+
 def test_jdbc_read_is_split_where_bounds_are_known():
     source = JdbcSource({"url": "jdbc:x", "user": "u"}, {"slnserpro": (1, 9000)}, partitions=8)
     options = source.read_options("slnserpro")
@@ -43,6 +47,95 @@ def test_jdbc_read_is_split_where_bounds_are_known():
     assert "partitionColumn" not in source.read_options("adncenate")
 
 
+@pytest.mark.parametrize("name", sorted(TABLES))
+def test_jdbc_options_of_every_table(name):
+    fields = {f.name: f.dataType.simpleString() for f in schema(name)}
+    assert ("oid" not in fields) == (name in WITHOUT_KEY)
+    source = JdbcSource({"url": "jdbc:x"}, {name: (5, 5_000)})
+    if name not in GROWING:
+        options = JdbcSource({"url": "jdbc:x"}).read_options(name)
+        assert "partitionColumn" not in options
+        if name in WITHOUT_KEY:
+            with pytest.raises(ValueError, match="no column"):
+                source.read_options(name)
+    else:
+        with pytest.raises(ValueError, match="grows"):
+            JdbcSource({"url": "jdbc:x"}).read_options(name)
+        assert "partitionColumn" not in JdbcSource({"url": "jdbc:x"}, whole=(name,)).read_options(name)
+        options = source.read_options(name)
+        column = GROWING[name]
+        assert column in fields and fields[column] in ("bigint", "timestamp_ntz")
+        assert options["partitionColumn"] == (column.upper() if column.islower() else f'"{column}"')
+        assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("5", "5000", "64")
+    # Types are asked of the connector as declared, so no cast stands between a filter and the database.
+    declared = dict(part.replace("`", "").split(" ", 1) for part in re.split(r", (?=`)", options["customSchema"]))
+    assert declared == fields
+    assert options["dbtable"] == name and options["preferTimestampNTZ"] == "true"
+
+
+def test_jdbc_reads_follow_the_number_of_rows():
+    def reads(rows):
+        source = JdbcSource({}, {"adndiaegr": Split((1, 10**9), rows)}, partitions=40, rows_per_read=1000)
+        return source.read_options("adndiaegr")["numPartitions"]
+
+    assert [reads(n) for n in (0, 1, 1000, 1001, 20_000, 10**9)] == ["1", "1", "1", "2", "20", "40"]
+
+
+def test_jdbc_cut_points_cover_every_row_once(spark):
+    split = Split(("2020-01-01 00:00:00", "2021-01-01 00:00:00", "2021-06-01 00:00:00", "2022-01-01 00:00:00", "2023-01-01 00:00:00"))
+    source = JdbcSource({"url": "jdbc:x"}, {"hpnestanc": split})
+    conditions = source.predicates("hpnestanc")
+    assert len(conditions) == 4 and "partitionColumn" not in source.read_options("hpnestanc")
+    stays = ["1999-01-01 00:00:00", *split.points, "2021-03-03 03:03:03", "2050-01-01 00:00:00", None]
+    rows = spark.createDataFrame([(x,) for x in stays], "x string").selectExpr("cast(x as timestamp_ntz) HESFECING")
+    hits = rows.select(sum(F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions).alias("n"))
+    assert [r.n for r in hits.collect()] == [1] * len(stays)
+    numbers = JdbcSource({}, {"slnserpro": Split((1, 10, 20))}).predicates("slnserpro")
+    assert numbers == ["OID < 10 OR OID IS NULL", "OID >= 10"]
+    assert JdbcSource({}, {"hcniyaevts": Split((1, 10, 20))}).predicates("hcniyaevts")[1] == '"InsidentesAccidentes" >= 10'
+
+
+@pytest.mark.parametrize("points", [(), (1,), (2, 1), (1, 1), (None, 5)])
+def test_jdbc_points_have_to_rise(points):
+    with pytest.raises((ValueError, TypeError)):
+        Split(points)
+
+
+def test_jdbc_options_reach_the_reader(spark, tmp_path):
+    """A reader that only notes what it is asked for."""
+    noted = {}
+
+    def empty(name):
+        spark.createDataFrame([], schema(name)).write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    class Reader:
+        def format(self, name):
+            noted["format"] = name
+            return self
+
+        def options(self, **options):
+            noted["options"] = options
+            return self
+
+        def load(self):
+            return empty("slnserpro")
+
+        def jdbc(self, url, table, predicates, properties):
+            noted.update(url=url, table=table, predicates=predicates, options=properties)
+            return empty(table)
+
+    session = SimpleNamespace(read=Reader())
+    source = JdbcSource({"url": "jdbc:x", "user": "u"}, {"slnserpro": (1, 9), "hcnrefer": Split((1, 5, 9))})
+    df = load(session, "slnserpro", source)
+    assert noted["format"] == "jdbc" and noted["options"] == source.read_options("slnserpro")
+    # Types are already those declared: nothing is cast after the read.
+    assert df.schema == schema("slnserpro") and "cast" not in df._jdf.queryExecution().optimizedPlan().toString()
+    load(session, "hcnrefer", source)
+    assert (noted["url"], noted["table"], noted["predicates"]) == ("jdbc:x", "hcnrefer", source.predicates("hcnrefer"))
+    assert "dbtable" not in noted["options"] and noted["options"]["customSchema"] == "`hcnfolio` bigint"
+
+
 def test_tables_are_read_once():
     read = []
     tables = HospitalTables(lambda n: read.append(n) or n, ("a", "b"))

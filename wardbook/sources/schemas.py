@@ -90,6 +90,37 @@ TABLES = {
 }
 
 
+# Tables that grow with time; the others are catalogues. By each the column whose ranges split a read of it: its key
+# or, where a table has none, the key of the table it belongs to or the instant of its rows.
+GROWING = {
+    "hpnestanc": "hesfecing",
+    "genpacien": "oid",
+    "adningreso": "oid",
+    "adnegreso": "oid",
+    "adndiaegr": "adnegreso",
+    "slnserpro": "oid",
+    "slnprohoj": "oid",
+    "inncsumpa": "oid",
+    "innmsumpa": "slnprohoj",
+    "slnserhoj": "oid",
+    "genmanser": "oid",
+    "genmantar": "oid",
+    "slnordser": "oid",
+    "slnfactur": "oid",
+    "crnradfacd": "slnfactur",
+    "crnradfacc": "oid",
+    "crnmtrasl": "crnctrasl",
+    "crnctrasl": "oid",
+    "crncxc": "oid",
+    "cmncitmed": "oid",
+    "hcnfolio": "oid",
+    "hcnrefer": "hcnfolio",
+    "hcntriage": "oid",
+    "hcninyacc": "oid",
+    "hcniyaevts": "InsidentesAccidentes",
+}
+
+
 def schema(name: str) -> StructType:
     fields = [f.strip().rsplit(" ", 1) for f in TABLES[name].split(",")]
     return StructType([StructField(column, _TYPES[kind]) for column, kind in fields])
