@@ -12,6 +12,7 @@ from wardbook.operators.intervals import (
     attribute_events,
     date_spine,
     running,
+    slot,
     sorted_by_day,
     spread,
     steps,
@@ -107,8 +108,7 @@ def brute_force(events, stays, as_of, left):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("bucket_days", [1, 7, 400])
-@pytest.mark.parametrize("years", [None, 20])
-def test_events_in_intervals_equal_comparing_everything(frame, how, bucket_days, years):
+def test_events_in_intervals_equal_comparing_everything(frame, how, bucket_days):
     rng = random.Random(bucket_days)
     stays = random_stays(120, seed=9)
     stays += [(1000, 1, datetime(1901, 1, 1), None), (1001, 2, datetime(2020, 1, 1), datetime(9999, 12, 31))]
@@ -118,15 +118,48 @@ def test_events_in_intervals_equal_comparing_everything(frame, how, bucket_days,
         if i % 3 == 0:
             at = rng.choice(stays)[rng.choice((2, 3))] or at
         events.append((i, rng.choice((None, 0, 1, 2, 3, 99)), None if i % 50 == 49 else at))
+    for i in range(300, 500):
+        start = datetime(1850, 1, 1) + timedelta(hours=rng.randrange(170 * 365 * 24))
+        stays.append((i, rng.randrange(4), start, start + timedelta(days=rng.choice((1, 40, 600, 9_000, 40_000)))))
+        events += [(i, rng.randrange(4), rng.choice(stays[-1][2:])), (1000 + i, rng.randrange(4), start + timedelta(days=rng.randrange(5_000)))]
     events += [(2000, 1, datetime(1950, 5, 5)), (2001, 2, datetime(2500, 1, 1)), (2002, 1, datetime(2500, 1, 1))]
     got = attribute_events(
         frame([(e, k, text(a)) for e, k, a in events], "event int, key int, at timestamp_ntz"),
         frame(as_rows(stays), SCHEMA),
-        "key", "at", "start", "end", text(AS_OF), how=how, bucket_days=bucket_days, years=years,
+        "key", "at", "start", "end", text(AS_OF), how=how, bucket_days=bucket_days,
     ).select("event", "stay").collect()
     assert Counter((r.event, r.stay) for r in got) == brute_force(events, stays, AS_OF, how == "left")
 
 
+@pytest.mark.parametrize("days", [1, 7, 400])
+def test_slots_of_time_grow_with_the_distance(frame, days):
+    # Steps of a hundredth: the widest slots are a thirty-second part of their distance.
+    ages = [0]
+    while ages[-1] < 700_000:
+        ages.append(max(ages[-1] + 1, int(ages[-1] * 1.01)))
+    instants = [AS_OF - timedelta(days=age) for age in ages] + [AS_OF + timedelta(days=2 * days), datetime(9999, 12, 31)]
+    df = frame([(i, text(t)) for i, t in enumerate(instants)], "i int, t timestamp_ntz")
+    found = [r.s for r in df.select("i", slot("t", text(AS_OF), days).alias("s")).orderBy("i").collect()]
+    past, later = found[: len(ages)], found[len(ages) :]
+    # No gap: neighbours in time have the same number or the next one.
+    assert past == sorted(past) and set(past) == set(range(past[0], past[-1] + 1)) and past[0] == 1
+    assert later == [0, 0] and past[-1] < 64 + 32 * 14
+    near = [s for age, s in zip(ages, past, strict=True) if age < 60 * days]
+    assert len(set(near)) >= min(60, 900 // days)
+
+
+def test_a_stay_is_a_bounded_number_of_rows(spark, frame):
+    """Rows of stays in the plan's join, told by an accumulating count on the exploded side."""
+    ends = [("2020-02-01 00:00:00", "2020-02-06 00:00:00", 2), ("2015-02-03 00:00:00", "2015-02-06 00:00:00", 2),
+            ("2019-06-01 00:00:00", "2020-02-01 00:00:00", 37), ("1900-01-01 00:00:00", "9999-12-31 00:00:00", 64 + 32 * 8),
+            ("0001-01-01 00:00:00", None, 64 + 32 * 11)]
+    for start, end, most in ends:
+        stay = frame([(start, end)], "start timestamp_ntz, end timestamp_ntz")
+        until = F.coalesce("end", F.lit(text(AS_OF)).cast("timestamp_ntz"))
+        first, last = stay.select(slot(until, text(AS_OF), 7), slot("start", text(AS_OF), 7)).first()
+        assert 1 <= last - first + 1 <= most
+
+
 def test_event_at_the_end_is_outside_and_overlaps_repeat(frame):
     stays = [
         (1, 1, "2020-01-01 00:00:00", "2020-01-03 00:00:00"),

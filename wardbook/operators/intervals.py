@@ -7,9 +7,9 @@ daily spine, and which stay an event falls into.
 None of them needs a range join between two tables. One instant is a filter.
 A daily spine is regular, so the first and last spine day of a stay follow by
 arithmetic: stays are exploded over just those days, or, for totals, turned
-into one +1 and one -1 each. Events meet stays on the key and a coarse time
-bucket, which keeps a key with very many events and stays from becoming one
-group in which everything is compared with everything.
+into one +1 and one -1 each. Events meet stays on the key and a slot of time,
+which keeps a key with very many events and stays from becoming one group in
+which everything is compared with everything.
 """
 
 from __future__ import annotations
@@ -174,6 +174,25 @@ def bucket(c, days: int) -> Column:
     return F.floor(F.unix_date(_col(c).cast("date")) / F.lit(days)).cast("int")
 
 
+# Stretches in which time within this many of ``as_of`` is cut; beyond, an octave (twice as far back) has half as many.
+_NEAR = 64
+
+
+def slot(c, as_of, days: int) -> Column:
+    """Number of the stretch of time, counted back from ``as_of``, that an instant falls into.
+
+    The last ``_NEAR`` stretches are ``days`` long each. Further back a
+    stretch doubles its length with each doubling of the distance, so all of
+    time since the year 1 is some hundreds of them. What lies after ``as_of``
+    is one. Later instants never have higher numbers.
+    """
+    back = F.greatest(F.lit(0), bucket(instant(as_of), days) + 1 - bucket(c, days))
+    octave = F.length(F.bin(back.cast("bigint"))) - F.length(F.bin(F.lit(_NEAR).cast("bigint")))
+    half = _NEAR // 2
+    far = F.lit(half) + octave * half + F.call_function("shiftright", back, octave + 1)
+    return F.when(back < _NEAR, back).otherwise(far).cast("int")
+
+
 def attribute_events(
     events: DataFrame,
     intervals: DataFrame,
@@ -184,40 +203,29 @@ def attribute_events(
     as_of,
     how: str = "inner",
     bucket_days: int = 7,
-    years: int | None = None,
 ) -> DataFrame:
     """Pair each event with the intervals of its key that it falls into, start <= event < end.
 
     Intervals without an end run to ``as_of``. An event in two overlapping
     intervals comes out twice; ``how="left"`` keeps events in none.
 
-    An event lies in exactly one time bucket and an interval is repeated for
-    each bucket it touches, so the pairs are the same as without buckets.
-    The key and bucket together spread a key that holds a large share of the
-    rows, and only intervals near an event in time are looked at. All time
-    after ``as_of`` is one bucket, which bounds the copies of an interval that
-    ends in 9999. ``years`` makes one bucket of all time longer before
-    ``as_of`` as well, for tables in which many intervals have a made-up start
-    far back; by default all of the past is told apart.
+    An event lies in exactly one slot of time and an interval is repeated for
+    each slot it touches, so the pairs are the same as without slots. The key
+    and slot together spread a key that holds a large share of the rows, and
+    only intervals near an event in time are looked at. Slots grow with their
+    distance from ``as_of`` (see ``slot``): a stay of some days is one or two
+    rows, one from a made-up start in 1900 until 9999 below three hundred, and events,
+    which are many more, are never repeated.
     """
     own = [c for c in intervals.columns if c != key]
-    newest = bucket(instant(as_of), bucket_days) + 1
-
-    def slot(c: str) -> Column:
-        known = F.least(newest, bucket(c, bucket_days))
-        return known if years is None else F.greatest(newest - years * 366 // bucket_days, known)
-
     spans = (
         intervals.filter(F.col(key).isNotNull())
         .withColumn("_until", F.coalesce(F.col(end), instant(as_of)))
         .filter(F.col(start) < F.col("_until"))
-        .withColumn(
-            "_bucket",
-            F.explode(F.sequence(slot(start), slot("_until"))),
-        )
+        .withColumn("_bucket", F.explode(F.sequence(slot("_until", as_of, bucket_days), slot(start, as_of, bucket_days))))
         .withColumnRenamed(key, "_key")
     )
-    marked = events.withColumn("_bucket", slot(at))
+    marked = events.withColumn("_bucket", slot(at, as_of, bucket_days))
     near = (
         (marked[key] == spans["_key"])
         & (marked["_bucket"] == spans["_bucket"])
