@@ -9,7 +9,7 @@ from wardbook.functions.scalars import day_bounds, parse_ymd
 from wardbook.operators.intervals import DailySpine, active_daily, date_spine
 from wardbook.plans import appointments as app, occupancy as occ, services
 from wardbook.plans.common import stays
-from wardbook.sources.publish import audit, publish
+from wardbook.sources.publish import audit, publish, published
 from wardbook.sources.staging import shared_folder
 from wardbook.sources.tables import HospitalTables, load
 
@@ -24,7 +24,7 @@ def _read_csv(c: Context, path: str, schema: StructType) -> DataFrame:
 
 def _loaded(c: Context) -> DataFrame:
     folder = shared_folder(c.spark)
-    publish(c.t["hpndefcam"], f"{folder}/hpndefcam.parquet", format="parquet")
+    c.t["hpndefcam"].write.parquet(f"{folder}/hpndefcam.parquet")
     return load(c.spark, "hpndefcam", folder)
 
 
@@ -33,7 +33,7 @@ def _over_files(c: Context) -> DataFrame:
     folder = shared_folder(c.spark)
 
     def stored(name: str) -> DataFrame:
-        publish(c.t[name], f"{folder}/{name}.parquet", format="parquet")
+        c.t[name].write.parquet(f"{folder}/{name}.parquet")
         return load(c.spark, name, folder)
 
     return services.service_history(HospitalTables(stored), YEAR, ORDERS_AS_OF)
@@ -41,9 +41,9 @@ def _over_files(c: Context) -> DataFrame:
 
 def _snapshot(c: Context) -> DataFrame:
     report, path = occ.occupancy(c.t, ORDERS_AS_OF), shared_folder(c.spark)
+    publish(report.limit(1), path)
     publish(report, path)
-    publish(report, path)
-    return _read_csv(c, path, report.schema)
+    return published(c.spark, path, schema=report.schema)
 
 
 def _incremental(c: Context) -> DataFrame:
@@ -53,13 +53,13 @@ def _incremental(c: Context) -> DataFrame:
             "FECHA", F.date_format("HORARIO_DE_CITA", "yyyy-MM-dd")
         )
         publish(report, path, mode="append", partition="FECHA")
-    return _read_csv(c, path, report.schema)
+    return published(c.spark, path, schema=report.schema, partition="FECHA")
 
 
 def _header(c: Context) -> DataFrame:
     path = shared_folder(c.spark)
     publish(occ.bed_state(c.t, FECHA), path)
-    return c.spark.read.option("header", True).csv(path)
+    return published(c.spark, path)
 
 
 def _audit(c: Context) -> DataFrame:

@@ -6,7 +6,8 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from wardbook.sources.publish import audit_run, publish
+from wardbook.sources import publish as sources_publish
+from wardbook.sources.publish import audit_run, publish, published, sweep
 from wardbook.sources.schemas import GROWING, TABLES, schema
 from wardbook.sources.staging import shared_folder
 from wardbook.sources.tables import FileSource, HospitalTables, JdbcSource, Split, load, open_tables, pick
@@ -149,8 +150,8 @@ def report(frame, day, n):
                  "fecha string, i int, s string, t timestamp_ntz")
 
 
-def read_back(spark, path, df):
-    return Counter(map(tuple, spark.read.schema(df.schema).option("header", True).csv(path).select(df.columns).collect()))
+def read_back(spark, path, df, partition=None):
+    return Counter(map(tuple, published(spark, path, schema=df.schema, partition=partition).select(df.columns).collect()))
 
 
 def test_snapshot_replaces(spark, frame, tmp_path):
@@ -166,7 +167,7 @@ def test_a_rerun_of_a_day_leaves_one_run(spark, frame, tmp_path):
     first, second = report(frame, "2024-01-01", 3), report(frame, "2024-01-02", 2)
     for df in (first, second, first, second):
         publish(df, path, mode="append", partition="fecha")
-    assert read_back(spark, path, first) == Counter(map(tuple, first.union(second).collect()))
+    assert read_back(spark, path, first, "fecha") == Counter(map(tuple, first.union(second).collect()))
 
 
 def test_a_covered_day_without_rows_is_emptied(spark, frame, tmp_path):
@@ -175,9 +176,9 @@ def test_a_covered_day_without_rows_is_emptied(spark, frame, tmp_path):
     first, second, third = (report(frame, "2024-01-01", 2).withColumn("fecha", F.lit(day)) for day in days)
     publish(first.union(second).union(third), path, mode="append", partition="fecha")
     publish(second.limit(0), path, mode="append", partition="fecha", covers=days[1:])
-    assert read_back(spark, path, first) == Counter(map(tuple, first.collect()))
+    assert read_back(spark, path, first, "fecha") == Counter(map(tuple, first.collect()))
     publish(second, path, mode="append", partition="fecha", covers=["2024-01-02", "2024-01-09"])
-    assert read_back(spark, path, first) == Counter(map(tuple, first.union(second).collect()))
+    assert read_back(spark, path, first, "fecha") == Counter(map(tuple, first.union(second).collect()))
 
 
 def test_a_day_is_written_in_order(spark, frame, tmp_path):
@@ -185,7 +186,7 @@ def test_a_day_is_written_in_order(spark, frame, tmp_path):
     path = f"{tmp_path}/out"
     publish(frame(rows, "fecha string, i int, s string").repartition(3), path, mode="append", partition="fecha", order=("i",))
     for day in ("2024-01-01", "2024-01-02"):
-        files = [f for f in Path(f"{path}/fecha={day}").iterdir() if f.name.startswith("part-")]
+        files = list(Path(f"{path}/rows").glob(f"run=*/fecha={day}/part-*"))
         assert len(files) == 1
         values = [line.split(",")[0].strip('"') for line in files[0].read_text().split("\n")[1:-1]]
         numbers = [int(v) for v in values if v]
@@ -203,7 +204,75 @@ def test_plain_append_adds(spark, frame, tmp_path):
 def test_header_carries_the_column_names(spark, frame, tmp_path):
     path = f"{tmp_path}/out"
     publish(report(frame, "2024-01-01", 1), path)
-    assert spark.read.option("header", True).csv(path).columns == ["fecha", "i", "s", "t"]
+    assert published(spark, path).columns == ["fecha", "i", "s", "t"]
+
+
+def test_a_run_that_breaks_off_before_the_switch_changes_nothing(spark, frame, tmp_path, monkeypatch):
+    path = f"{tmp_path}/out"
+    days = [report(frame, f"2024-01-0{i}", i) for i in (1, 2, 3)]
+    publish(days[0].union(days[1]), path, mode="append", partition="fecha")
+    before = read_back(spark, path, days[0], "fecha")
+    during = []
+
+    def broken(*_):
+        # The new rows are all there, and no reader sees them.
+        assert len(list(Path(f"{path}/rows").glob("run=*"))) == 2
+        during.append(read_back(spark, path, days[0], "fecha"))
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(sources_publish, "_switch", broken)
+        with pytest.raises(OSError):
+            publish(report(frame, "2024-01-01", 9), path, mode="append", partition="fecha", covers=["2024-01-02"])
+    assert during == [before] == [read_back(spark, path, days[0], "fecha")]
+    # Repeated, the run replaces the one day and empties the other in one step.
+    publish(report(frame, "2024-01-01", 9), path, mode="append", partition="fecha", covers=["2024-01-02"])
+    assert read_back(spark, path, days[0], "fecha") == Counter(map(tuple, report(frame, "2024-01-01", 9).collect()))
+    publish(days[2], path)
+    with monkeypatch.context() as m:
+        m.setattr(sources_publish, "_switch", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            publish(days[0], path)
+    assert read_back(spark, path, days[2]) == Counter(map(tuple, days[2].collect()))
+
+
+def test_a_frame_that_was_built_keeps_its_version(spark, frame, tmp_path):
+    path = f"{tmp_path}/out"
+    first, second = report(frame, "2024-01-01", 3), report(frame, "2024-01-01", 2)
+    publish(first, path, mode="append", partition="fecha")
+    held = published(spark, path, schema=first.schema, partition="fecha")
+    publish(second, path, mode="append", partition="fecha")
+    sweep(spark, path)
+    assert held.count() == 3 and published(spark, path, partition="fecha").count() == 2
+
+
+def test_sweeping_empties_only_what_two_versions_no_longer_name(spark, frame, tmp_path):
+    path = f"{tmp_path}/out"
+    swept = []
+    for n in (1, 2, 3, 4):
+        publish(report(frame, "2024-01-01", n), path)
+        swept += sweep(spark, path)
+    assert len(swept) == 2 and published(spark, path).count() == 4
+    kept = {f.parent.name for f in Path(f"{path}/rows").glob("run=*/part-*.csv")}
+    assert len(kept) == 2 and not {f"run={r}" for r in swept} & kept
+
+
+def test_days_are_texts_and_may_be_missing(spark, frame, tmp_path):
+    path = f"{tmp_path}/out"
+    rows = frame([("007", 1), (None, 2), ("1e5", 3), ("2024-01-01", 4)], "fecha string, i int")
+    outcome = publish(rows, path, mode="append", partition="fecha")
+    assert (outcome.rows, len(outcome.days)) == (4, 4) and outcome.seconds > 0
+    assert {(r.fecha, r.i) for r in published(spark, path, partition="fecha").collect()} == {("007", "1"), (None, "2"), ("1e5", "3"), ("2024-01-01", "4")}
+    publish(rows.filter("fecha is null").withColumn("i", F.lit(9)), path, mode="append", partition="fecha")
+    assert {(r.fecha, r.i) for r in published(spark, path, partition="fecha").collect()} == {("007", "1"), (None, "9"), ("1e5", "3"), ("2024-01-01", "4")}
+    with pytest.raises(ValueError, match="by day"):
+        published(spark, path)
+    with pytest.raises(ValueError, match="kept by day or not"):
+        publish(rows, path, mode="append")
+    publish(rows.limit(0), path, mode="append", partition="fecha", covers=outcome.days)
+    assert published(spark, path, schema=rows.schema, partition="fecha").count() == 0
+    with pytest.raises(ValueError, match="nothing"):
+        published(spark, f"{path}/elsewhere")
 
 
 def test_run_log_grows(spark, tmp_path):

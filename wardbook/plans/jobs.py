@@ -6,11 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardbook.functions.codes import HISTORY_YEAR, SPINE_START
 from wardbook.operators.intervals import _as_date
-from wardbook.sources.publish import audit_run, publish
+from wardbook.sources.publish import audit_run, publish, published, sweep
 
 from . import admissions, appointments, billing, emergency, occupancy, services
 
@@ -86,13 +86,27 @@ def run(t, name: str, as_of, folder: str, format: str = "csv", **options) -> str
 
     Reports kept by day replace the days they cover and leave the others, so
     a history and the daily runs after it can be repeated at will. The other
-    reports replace their last snapshot. The log has the time of the run
-    itself and the instant that was asked for.
+    reports replace their last snapshot. Readers go through ``published`` and
+    see a report before a run or after it. The log has the time of the run
+    itself, the instant that was asked for, what was written and how long it
+    took, or the error with which the run ended.
     """
-    job = JOBS[name]
-    path = f"{folder.rstrip('/')}/{job.folder}"
-    df = job.report(t, as_of, **options)
-    covers = job.covers(as_of, **options)
-    publish(df, path, "append" if job.partition else "overwrite", job.partition, format, job.order, covers)
-    audit_run(df.sparkSession, name, datetime.now(), f"{folder.rstrip('/')}/log", as_of)
+    job, started = JOBS[name], datetime.now()
+    path, log = (f"{folder.rstrip('/')}/{part}" for part in (job.folder, "log"))
+    spark = SparkSession.active()
+    try:
+        df = job.report(t, as_of, **options)
+        covers = job.covers(as_of, **options)
+        outcome = publish(df, path, "append" if job.partition else "overwrite", job.partition, format, job.order, covers)
+    except Exception as error:
+        audit_run(spark, name, started, log, as_of, error)
+        raise
+    audit_run(spark, name, started, log, as_of, outcome)
+    sweep(spark, path)
     return path
+
+
+def report(spark: SparkSession, name: str, folder: str, format: str = "csv", schema=None) -> DataFrame:
+    """A report as its job last published it."""
+    job = JOBS[name]
+    return published(spark, f"{folder.rstrip('/')}/{job.folder}", format, schema, job.partition)
