@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -109,6 +110,9 @@ def test_bpe_agrees_with_the_library(given, edges):
     for df, texts in both(given, edges):
         encoded = bpe.encode(df, ranks, public_tokenizers.PATTERN)
         found = bpe.digests(bpe.decode(encoded, ranks))
+        both_ways = bpe.round_trip(df, ranks, public_tokenizers.PATTERN, with_ids=True)
+        assert ordered(map(tuple, both_ways.drop("ids").collect())) == ordered(map(tuple, found.collect()))
+        assert all(len(r["ids"]) == r["n_tokens"] for r in both_ways.collect())
         expected = []
         for i, t in texts:
             ids = known.encode_ordinary(t or "")
@@ -257,6 +261,34 @@ def test_pii_base_spans(given, edges):
         assert all(spans[r["doc_id"]] <= set(r["spans"].split(",")) for r in rows if r["doc_id"] is not None)
 
 
+def test_pii_base_spans_of_random_signs():
+    rng = np.random.default_rng(3)
+    signs = ["1", "25", "256", "007", ".", ".", "..", "@", "@", "a", "b-", "%", "+", "_", " ", "x.y", "[at]", "(at)", " org", "é", ",", "+4 ", "(", ")", "1111"]
+    for _ in range(6000):
+        text = "".join(rng.choice(signs, rng.integers(0, 25)))
+        assert sorted((k, a, b) for k, a, b, holds in pii.base_spans(text) if holds) == sorted(pii_of(text)), text
+        base, more = pii.candidates(text)
+        spans = sorted((a, b) for _, a, b, *_ in more)
+        # Further spans touch neither the base nor one another.
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+        assert not any(a < d and c < b for a, b in spans for _, c, d in base)
+
+
+@pytest.mark.parametrize("text", [
+    "see " + "0" * 5000 + "1.1.1.1 end", "7" * 1_000_000, "x" * 500_000 + "@" + "y" * 500_000, "a@" * 400_000, "1." * 500_000, "@" * 1_000_000,
+    "mail me [at] home (at) " + "q" * 1_000_000, "+1 " * 300_000, "a.b@c.de " * 100_000, "1.2.3.4 " * 120_000, "9 " * 500_000, "password=" + "z" * 1_000_000,
+    "me [at] home.org " * 50_000, "+1" + " " * 1_000_000, "(555) 010-0199 " * 60_000,
+], ids=lambda t: t[:12])
+def test_pii_takes_no_longer_than_the_text(text):
+    began = time.perf_counter()
+    pii.base_spans(text)
+    assert time.perf_counter() - began < 3
+    base, more = pii.candidates(text)
+    assert time.perf_counter() - began < 12
+    if text.startswith("see"):
+        assert base == [("ip", 4, 4 + 5007)]
+
+
 def test_pii_finds_more_than_the_base(given):
     rows = pii.find_pii(given("documents", "/root/testdata/sf0.01")).collect()
     more = [s for r in rows for s in r["spans"].split(",") if s.startswith("secret")]

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -22,19 +24,24 @@ from .common import settled
 
 # The base patterns and their order.
 KINDS = ("email", "ip", "card", "phone")
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# email: [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+, in its part before the @ and the one behind it
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# ip: [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+), four neighbours of a chain of dotted numbers
+_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Spans that the method proposes besides.
 _LOOSE = (
-    ("email", re.compile(r"[A-Za-z0-9._+-]{1,64} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z]{2,24}){1,3}")),
     ("phone", re.compile(r"(?<![0-9+.])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")),
     ("secret", re.compile(r"(?:password|passwd|token|api_key|secret) ?[=:] ?\"?[A-Za-z0-9_-]{8,128}")),
 )
+# An address with its signs spelt out: what stands behind the name, whose signs these are, and how many there may be.
+_SPELT = re.compile(r"(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z]{2,24}){1,3}")
+_SPELT_LOCAL, _SPELT_MOST = _LOCAL - {"%"}, 64
 # Without these a loose pattern of the kind has no match.
-_NEEDED = {"email": re.compile(r"at[)\]]"), "phone": re.compile("[0-9]"), "secret": re.compile("[=:]")}
+_NEEDED = {"phone": re.compile("[0-9]"), "secret": re.compile("[=:]")}
 _ORDER = {kind: i for i, kind in enumerate((*KINDS, "secret"))}
 
 # Gazetteers and cue words.
@@ -62,7 +69,8 @@ def _digits(text: str) -> str:
 def _checked(kind: str, span: str) -> bool:
     """Does a span hold what its kind asks beyond the pattern?"""
     if kind == "ip":
-        return all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in span.split("."))
+        parts = [p.lstrip("0") for p in span.split(".")]
+        return all(len(p) < 4 and int(p or "0") < 256 for p in parts)
     if kind == "card":
         d = _digits(span)
         return 12 <= len(d) <= 19 and luhn(d)
@@ -71,13 +79,65 @@ def _checked(kind: str, span: str) -> bool:
     return True
 
 
+def _back(text: str, at: int, low: int, signs: frozenset[str]) -> int:
+    """Where the run of ``signs`` that ends at ``at`` begins, no further back than ``low``."""
+    while at > low and text[at - 1] in signs:
+        at -= 1
+    return at
+
+
+def emails(text: str) -> list[tuple[int, int]]:
+    """Matches of the address pattern, leftmost first, in time linear in the text.
+
+    A match holds one @, and its first part is the whole run in front of it,
+    as far as no match before has taken it; no other start can be further left.
+    """
+    found, end, at = [], 0, text.find("@")
+    while at >= 0:
+        behind = _DOMAIN.match(text, at + 1)
+        start = _back(text, at, end, _LOCAL) if behind else at
+        if start < at:
+            end = behind.end()
+            found.append((start, end))
+        at = text.find("@", max(at + 1, end))
+    return found
+
+
+def ips(text: str) -> list[tuple[int, int]]:
+    """Matches of the pattern of four dotted numbers, leftmost first, in time linear in the text.
+
+    A match begins and ends with whole numbers, so a chain of dotted numbers
+    holds one for every four of them.
+    """
+    found = []
+    for chain in _CHAIN.finditer(text):
+        if chain[0].count(".") < 3:
+            continue
+        start, bounds = chain.start(), []
+        for number in chain[0].split("."):
+            bounds.append((start, start + len(number)))
+            start += len(number) + 1
+        found += [(bounds[i][0], bounds[i + 3][1]) for i in range(0, len(bounds) - 3, 4)]
+    return found
+
+
+def spelt_emails(text: str) -> list[tuple[int, int]]:
+    """Addresses whose @ is spelt out, leftmost first."""
+    found, end = [], 0
+    for sign in _SPELT.finditer(text):
+        name = sign.start() - (sign.start() > end and text[sign.start() - 1] == " ")
+        start = _back(text, name, max(end, name - _SPELT_MOST), _SPELT_LOCAL)
+        if start < name:
+            end = sign.end()
+            found.append((start, end))
+    return found
+
+
 def base_spans(text: str) -> list[tuple[str, int, int, bool]]:
     """Every match of the base patterns, leftmost and without overlap per kind, and whether it holds."""
-    found = []
-    if "@" in text:
-        found += [("email", m.start(), m.end(), True) for m in _EMAIL.finditer(text)]
+    found = [("email", start, end, True) for start, end in emails(text)]
     if re.search("[0-9]", text):
-        found += [("ip", m.start(), m.end(), _checked("ip", m[0])) for m in _IP.finditer(text)]
+        found += [("ip", start, end, _checked("ip", text[start:end])) for start, end in ips(text)]
         found += [("card", m.start(), m.end(), _checked("card", m[0])) for m in _CARD.finditer(text)]
     if "+" in text:
         found += [("phone", m.start(), m.end(), _checked("phone", m[0])) for m in _PHONE.finditer(text)]
@@ -123,14 +183,18 @@ def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
             base.append((kind, start, end))
         elif kind != "card" or end - start >= 12:
             more.append((kind, start, end, False))
+    more += [("email", start, end, False) for start, end in spelt_emails(text)]
     for kind, pattern in _LOOSE:
         if _NEEDED[kind].search(text):
             more += [(kind, m.start(), m.end(), False) for m in pattern.finditer(text)]
     taken = sorted((s, e) for _, s, e in base)
-    kept = []
+    starts, furthest = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    kept, last = [], 0
     for kind, start, end, _ in sorted(more, key=lambda x: (x[1], -x[2])):
-        if not any(s < end and start < e for s, e in taken):
-            taken.append((start, end))
+        # The furthest end of the base spans that begin before this one ends tells whether one of them overlaps it.
+        before = bisect_left(starts, end)
+        if start >= last and (not before or furthest[before - 1] <= start):
+            last = end
             kept.append((kind, start, end, _votes(text, kind, start, end, False)))
     return base, kept
 
