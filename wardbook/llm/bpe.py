@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import settled
 
 # Text of a block; one task holds its distinct words, or their ids, at a time.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 6_000_000
 # Positions that travel as one row.
 PIECE_TOKENS = 500_000
 
@@ -213,8 +213,8 @@ def _encode_words(ranks, pattern: str):
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def _assemble(batches):
-    """Replies of a block come first, then its pieces."""
+def _whole(batches) -> Iterator[pa.RecordBatch]:
+    """Documents with their ids. Replies of a block come first, then its pieces."""
     block, numbers, counts, ids, table = None, [], [], [], None
     for batch in batches:
         for i in range(batch.num_rows):
@@ -246,14 +246,37 @@ def _assemble(batches):
                 yield whole.slice(at, 512)
 
 
-def encode(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files: bool = False) -> DataFrame:
-    """doc_id and token ids of every whole text, each match of ``pattern`` encoded on its own, no special tokens.
+_DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+_ROUND_TRIP = pa.schema(
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.list_(pa.int32()))]
+)
 
-    A null text counts as empty and has no ids. Repeated rows are encoded one
-    by one, an empty table gives no rows. Only doc_id and text are read.
-    ``files`` says that ``docs`` is read from files as it is, so that it has
-    the same rows in the same partitions each time; else it is written first.
-    """
+
+def _there_and_back(table, with_ids: bool):
+    """Put documents together, decode them and digest both, in one operator: a task holds one Python worker, not two."""
+
+    def told(batches):
+        token = table.value.__getitem__
+        for batch in _whole(batches):
+            lists = batch["ids"]
+            flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            own = [flat[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+            columns = [
+                batch["doc_id"],
+                pa.array([len(x) for x in own], pa.int64()),
+                pa.array([_sha256_of_ids(x) for x in own], pa.string()),
+                pa.array([hashlib.sha256(b"".join(map(token, x.tolist()))).hexdigest() for x in own], pa.string()),
+            ]
+            if with_ids:
+                yield pa.RecordBatch.from_arrays([*columns, lists], schema=_ROUND_TRIP)
+            else:
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(_ROUND_TRIP)[:-1]))
+
+    return told
+
+
+def _met(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files: bool) -> DataFrame:
+    """Per block the ids of its words, and then its documents as numbers of words."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = (texts if files else settled(texts)).withColumn("origin", F.spark_partition_id().cast("long"))
@@ -262,8 +285,28 @@ def encode(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files:
     words = texts.mapInArrow(_cut_words(pattern, slices), _ROWS).repartition("part").sortWithinPartitions("part")
     replies = words.mapInArrow(_encode_words(table, pattern), _ROWS)
     pieces = texts.mapInArrow(_cut_pieces(pattern), _ROWS)
-    met = replies.unionByName(pieces).repartition("block").sortWithinPartitions("block", "kind", "part")
-    return met.mapInArrow(_assemble, "doc_id long, ids array<int>")
+    return replies.unionByName(pieces).repartition("block").sortWithinPartitions("block", "kind", "part")
+
+
+def encode(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files: bool = False) -> DataFrame:
+    """doc_id and token ids of every whole text, each match of ``pattern`` encoded on its own, no special tokens.
+
+    A null text counts as empty and has no ids. Repeated rows are encoded one
+    by one, an empty table gives no rows. Only doc_id and text are read.
+    ``files`` says that ``docs`` is read from files as it is, so that it has
+    the same rows in the same partitions each time; else it is written first.
+    """
+    return _met(docs, ranks, pattern, files).mapInArrow(_whole, "doc_id long, ids array<int>")
+
+
+def round_trip(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files: bool = False, with_ids: bool = False) -> DataFrame:
+    """``digests`` of ``decode`` of ``encode``, without carrying ids and bytes from one operator to the next.
+
+    The ids themselves are a further column if asked for.
+    """
+    table = docs.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks})
+    schema = f"{_DIGESTS}, ids array<int>" if with_ids else _DIGESTS
+    return _met(docs, ranks, pattern, files).mapInArrow(_there_and_back(table, with_ids), schema)
 
 
 def decode(encoded: DataFrame, ranks: list[tuple[bytes, int]]) -> DataFrame:
@@ -279,9 +322,13 @@ def decode(encoded: DataFrame, ranks: list[tuple[bytes, int]]) -> DataFrame:
     return encoded.withColumn("decoded", joined("ids"))
 
 
-def _ids_sha256(ids: pd.Series) -> pd.Series:
+def _sha256_of_ids(ids) -> str:
     """Digest of ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([hashlib.sha256(np.asarray(x, dtype="<u4").tobytes()).hexdigest() for x in ids], dtype=object)
+    return hashlib.sha256(np.asarray(ids, dtype="<u4").tobytes()).hexdigest()
+
+
+def _ids_sha256(ids: pd.Series) -> pd.Series:
+    return pd.Series(list(map(_sha256_of_ids, ids)), dtype=object)
 
 
 def digests(decoded: DataFrame, *more: str) -> DataFrame:

@@ -20,9 +20,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text and their way back, as digests."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    docs = table(spark, sf_dir, "documents")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, files=True)
-    return bpe.digests(bpe.decode(encoded, ranks))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, files=True)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
