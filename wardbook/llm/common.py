@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardbook.sources.staging import shared_folder
 
@@ -20,3 +20,13 @@ def settled(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` as one, ``_docs``, so that no name of theirs meets one that an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_docs"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns out of ``_docs`` again, those named in ``new`` with new values."""
+    return rows.select([(new[c] if c in new else F.col("_docs").getField(c)).alias(c) for c in columns])

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import settled
+from .common import packed, settled, unpacked
 from .quality import class_counts
 
 # Bound of the labelled sample that the models are fitted to.
@@ -423,8 +423,12 @@ def classify(docs: DataFrame, labels: DataFrame, least: float = 0.5, **settings)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, **settings) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with all their columns."""
+    """The rows of ``docs`` that the classifier keeps, with all their columns, whatever their names.
+
+    Null text counts as empty, repeated rows fare alike, an empty table gives
+    no rows; with too few labels everything is kept.
+    """
     model = train(docs, labels, **settings)
-    scored = docs.withColumn("_quality", score(docs, model))
-    good = F.coalesce(F.col("_quality.score") >= least, F.lit(True))
-    return scored.filter(good).select([F.col(f"`{c}`") for c in docs.columns])
+    read = packed(docs).select("_docs", *[F.col("_docs").getField(c).alias(c) for c in ("text", "source", "lang")])
+    scored = read.select("_docs", score(read, model).alias("_quality"))
+    return unpacked(scored.filter(F.coalesce(F.col("_quality.score") >= least, F.lit(True))), docs.columns)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import settled
+from .common import packed, settled, unpacked
 
 SHINGLE = 5
 LEAST = 80  # per cent
@@ -468,7 +468,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; documents without words stay.
 
-    Of several rows with that id one stays, the one whose text has the lowest
+    Columns may have any names; all but doc_id and text are passed on as they
+    are. An empty table gives no rows. Of several rows with that id one stays, the one whose text has the lowest
     hash; if no row of a component has an id, the one with the lowest hash.
     Of equal rows one stays.
     """
@@ -483,8 +484,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
             F.col("doc_id").alias("_doc_id"), F.col("place").alias("_place"), "n", "times"
         ).withColumn("_again", F.expr("n > 0 and times > 1")).drop("n", "times")
     )
-    placed = docs.withColumn("_text_place", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_text_place") == F.col("_place"))
+    placed = packed(docs).withColumn("_text_place", F.xxhash64("_docs.text"))
+    same = F.col("_docs.doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_text_place") == F.col("_place"))
     left = placed.join(stay, same)
     once = left.filter("not _again").unionByName(left.filter("_again").dropDuplicates(["_doc_id", "_place"]))
-    return once.select([F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(once, docs.columns)

@@ -23,7 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import settled
+from .common import packed, settled, unpacked
 
 LEAST_WORDS = 50
 
@@ -69,9 +69,9 @@ _COLUMNS = ["doc_id", "key", "seq", "r1", "r2", "runs"]
 _PLACE = ("doc_id", "key", "seq")
 
 
-def _key() -> Column:
+def _key(within: str = "") -> Column:
     """Tells documents with one id apart; equal ids with equal texts are one document."""
-    return F.xxhash64("doc_id", "text")
+    return F.xxhash64(f"{within}doc_id", f"{within}text")
 
 
 def _shared(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -157,7 +157,7 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
 
 
 def cut_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with ``_cut``: the text without later copies, its lines with words, and how many of them went.
+    """``docs`` as one column ``_docs``, and ``_cut``: the text without later copies, its lines with words, how many went.
 
     The first copy, by doc_id (null first) and place, stays. A null text
     stays null. Rows with equal id and equal text are one document and fare
@@ -165,27 +165,29 @@ def cut_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """
     gone = repeated_runs(docs, least).groupBy(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"))
     spans = settled(gone.agg(F.collect_set(F.struct("seq", "m")).alias("_spans")))
-    keyed = docs.withColumn("_line_key", _key())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_line_key") == F.col("_key"))
+    keyed = packed(docs).withColumn("_line_key", _key("_docs."))
+    same = F.col("_docs.doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_line_key") == F.col("_key"))
     # The spans grow with the corpus: merged at every size, never broadcast.
-    return keyed.join(spans.hint("merge"), same, "left").withColumn("_cut", F.pandas_udf(_without, _CUT)("text", "_spans")).drop(
-        "_doc_id", "_key", "_line_key", "_spans"
-    )
+    rows = keyed.join(spans.hint("merge"), same, "left")
+    return rows.select("_docs", F.pandas_udf(_without, _CUT)("_docs.text", "_spans").alias("_cut"))
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` in its own columns with later copies of lines cut out; ``n_chars`` follows the text.
+    """``docs`` in its own columns, whatever their names, with later copies of lines cut out; ``n_chars`` follows the text.
 
-    Documents of which no line is left are copies through and through, and go.
+    Documents of which no line is left are copies through and through, and
+    go. Null and empty texts stay as they are, rows with equal id and text
+    fare alike, an empty table gives no rows.
     """
     rows = cut_repeats(docs, least)
-    left = F.col("_cut.n_lines") > F.col("_cut.n_cut")
-    rows = rows.filter(left | (F.col("_cut.n_cut") == 0))
-    new = {"text": F.col("_cut.text"), "n_chars": F.coalesce(F.length("_cut.text").cast("long"), F.col("n_chars")) if "n_chars" in docs.columns else None}
-    return rows.select([new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.filter((F.col("_cut.n_lines") > F.col("_cut.n_cut")) | (F.col("_cut.n_cut") == 0))
+    new = {"text": F.col("_cut.text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.length("_cut.text").cast("long"), F.col("_docs.n_chars"))
+    return unpacked(rows, docs.columns, **new)
 
 
 def line_report(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """One row per document: its lines with words, how many were cut, and the text without them."""
     rows = cut_repeats(docs.select("doc_id", "text"), least)
-    return rows.select("doc_id", "_cut.n_lines", "_cut.n_cut", F.col("_cut.text").alias("text"))
+    return rows.select("_docs.doc_id", "_cut.n_lines", "_cut.n_cut", F.col("_cut.text").alias("text"))

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import settled
+from .common import packed, settled, unpacked
 
 BLOCK = 128
 SLOTS = 16_384
@@ -228,10 +228,13 @@ def mixture(docs: DataFrame, **settings) -> DataFrame:
 
     Blocks taken twice are in both rows; documents that no block was taken of
     have none. Between two taken stretches of a text stands a line break.
-    ``n_chars``, if there is such a column, is that of the new text.
+    ``n_chars``, if there is such a column, is that of the new text. Other
+    columns, whatever their names, are passed on; null and wordless texts have
+    no row, and an empty table gives none.
     """
-    numbered = settled(docs.withColumn("_mix_row", F.monotonically_increasing_id()))
-    _, chosen = mix(numbered, row=F.col("_mix_row"), **settings)
+    numbered = settled(packed(docs).withColumn("_mix_row", F.monotonically_increasing_id()))
+    read = numbered.select(*[F.col("_docs").getField(c).alias(c) for c in ("doc_id", "source", "text")], "_mix_row")
+    _, chosen = mix(read, row=F.col("_mix_row"), **settings)
     stretches = chosen.groupBy(F.col("row").alias("_mix_row")).agg(
         F.array_sort(F.collect_list(F.struct("start", "words", "times"))).alias("_mix_pieces")
     )
@@ -254,6 +257,5 @@ def mixture(docs: DataFrame, **settings) -> DataFrame:
             out.append(parts)
         return pd.Series(out, dtype=object)
 
-    full = numbered.join(stretches, "_mix_row").withColumn("_mix_text", F.explode(passes("text", "_mix_pieces")))
-    new = {"text": F.col("_mix_text"), "n_chars": F.length("_mix_text").cast("long")}
-    return full.select([new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    full = numbered.join(stretches, "_mix_row").withColumn("_mix_text", F.explode(passes("_docs.text", "_mix_pieces")))
+    return unpacked(full, docs.columns, text=F.col("_mix_text"), n_chars=F.length("_mix_text").cast("long"))
