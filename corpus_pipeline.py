@@ -32,8 +32,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and digests of the ids and of what they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, ranks), "ids")
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [
