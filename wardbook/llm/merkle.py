@@ -203,7 +203,8 @@ def manifest(docs: DataFrame) -> DataFrame:
         digest(*own, framed(text)).alias("digest"),
         digest(*own, framed(tampered(text, F.col("doc_id")))).alias("found"),
     )
-    leaves = settled(placed(leaves, "tree", ["doc_id", "digest"]))
+    # Written first: the sort by range reads its input twice, and texts are to be digested once.
+    leaves = settled(placed(settled(leaves), "tree", ["doc_id", "digest"]))
     most = leaves.agg(F.max("n")).first()[0]
     if most is None:
         empty = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
