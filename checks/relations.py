@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions import codes as k
 from wardbook.functions.scalars import decode, percent, site_short_name, whole_days
-from wardbook.operators.intervals import DailySpine, active_at, active_daily, attribute_events
+from wardbook.operators.intervals import DailySpine, InstantSpine, active_at, active_at_each, active_daily, attribute_events
 from wardbook.operators.joins import count_per, fan_out_left, having, latest_version, weighted
 from wardbook.operators.sets import ordered, union_all, union_distinct
 from wardbook.plans import emergency as er, services as srv, unbilled
@@ -14,7 +14,7 @@ from wardbook.plans.common import beds, drug_lines, floors, sites, stays
 from wardbook.sources.tables import pick
 
 from .case import Check, case_of, oracle, short
-from .reports import END_DAY, START_DAY, _spine, _stack_sql, _unbilled_sql
+from .reports import END_DAY, START_DAY, UNEVEN, _spine, _stack_sql, _unbilled_sql
 from .samples import EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_START
 
 _AT = f"timestamp '{ORDERS_AS_OF}'"
@@ -133,6 +133,14 @@ _JOINS = {
             f"where {_AT} between hesfecing and coalesce(hesfecsal, {_AT})"
         ),
     ),
+    "j7_stays_at_uneven_instants": Check(
+        lambda c: active_at_each(stays(c.t), InstantSpine.of(UNEVEN)),
+        oracle(
+            'select s.at as "at", e.hpndefcam as bed, e.adningres as admission, e.hesfecing as "start", e.hesfecsal as "end" '
+            "from spine s join hpnestanc e on s.at >= e.hesfecing and (e.hesfecsal is null or s.at <= e.hesfecsal)",
+            spine=" union all ".join(f"select timestamp '{i}' as at" for i in UNEVEN),
+        ),
+    ),
     "j7_stay_as_of": Check(
         _daily_stays,
         oracle(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from wardbook.functions import codes as k
+from wardbook.operators.intervals import InstantSpine
 from wardbook.plans import (
     admissions as adm,
     appointments as app,
@@ -75,6 +78,19 @@ R4 = oracle(
     spine=_spine(START_DAY, END_DAY, "07:00:00"),
 )
 
+# Every hour of two weeks, and some instants at uneven distances.
+HOURS = ("1998-03-01 00:00:00", "1998-03-14 23:00:00")
+UNEVEN = ("1996-02-29 23:59:59", "1998-03-03 00:00:00", "1998-03-03 00:00:01", "1998-03-03 12:30:00", "2001-06-30 07:00:00", "2001-06-30 23:59:59")
+
+
+def _bed_use_at_sql(instants: str) -> str:
+    at = """strftime(s.at, '%d/%m/%Y %H:%M:%S')"""
+    return R4.replace(dmy("s.day"), at).replace(f"spine as ({_spine(START_DAY, END_DAY, '07:00:00')})", f"spine as ({instants})")
+
+
+_HOURLY = f"select cast(g as timestamp) as at from generate_series(timestamp '{HOURS[0]}', timestamp '{HOURS[1]}', interval 1 hour) s(g)"
+_AT_UNEVEN = " union all ".join(f"select timestamp '{i}' as at" for i in UNEVEN)
+
 _FOLLOWED = f"""from slnserpro v
     left join slnserhoj h on h.oid = v.oid left join genserips p on p.oid = h.genserips1
     left join genconfac c on c.oid = p.genconfac1
@@ -390,6 +406,12 @@ CHECKS = {
     ),
     "r3_bed_state": Check(lambda c: occ.bed_state(c.t, FECHA), R3),
     "r4_bed_use_history": Check(lambda c: occ.bed_use_history(c.t, START_DAY, END_DAY, ORDERS_AS_OF), R4),
+    "r4_bed_use_hourly": Check(
+        lambda c: occ.bed_use_at(c.t, InstantSpine.every(*HOURS, timedelta(hours=1)), ORDERS_AS_OF), _bed_use_at_sql(_HOURLY)
+    ),
+    "r4_bed_use_at_uneven_instants": Check(
+        lambda c: occ.bed_use_at(c.t, InstantSpine.of(UNEVEN), ORDERS_AS_OF), _bed_use_at_sql(_AT_UNEVEN)
+    ),
     "r5_service_followup": Check(lambda c: srv.service_followup(c.t, ORDERS_AS_OF), R5),
     "r6_daily_census": Check(lambda c: srv.daily_census(c.t, ORDERS_AS_OF), R6),
     "r7_floor_movements": Check(lambda c: movements.floor_movements(c.t), _movements_sql(False, "union")),

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from wardbook.operators.intervals import (
     DailySpine,
+    InstantSpine,
     active_at,
+    active_at_each,
     active_daily,
     attribute_events,
     date_spine,
@@ -73,6 +75,48 @@ def test_daily_pairs_equal_comparing_everything(frame, as_of, time):
     assert Counter((r.stay, r.at) for r in got) == want
 
 
+def instants(kind):
+    if kind == "hourly":
+        return InstantSpine.every("2020-01-01 00:30:00", "2020-01-20 12:00:00", timedelta(hours=1))
+    rng = random.Random(kind)
+    start = datetime(2020, 1, 1)
+    some = [start + timedelta(seconds=rng.choice((0, 1, 59, 3600, 86_399)) + 86_400 * rng.randrange(70)) for _ in range(kind)]
+    return InstantSpine.of([*some, *some[:2]])
+
+
+@pytest.mark.parametrize("as_of", [None, AS_OF])
+@pytest.mark.parametrize("kind", ["hourly", 1, 7, 60])
+def test_pairs_at_any_instants_equal_comparing_everything(frame, as_of, kind):
+    stays, spine = random_stays(120, seed=5), instants(kind)
+    # Stays that begin or end at an instant itself.
+    for i, t in enumerate(spine.instants[:20]):
+        stays += [(500 + i, 1, t, t), (600 + i, 1, t - timedelta(days=900), t), (700 + i, 1, t, None), (800 + i, 1, t + timedelta(seconds=1), t + timedelta(days=900))]
+    df = frame(as_rows(stays), SCHEMA)
+    got = active_at_each(df, spine, as_of=text(as_of)).select("stay", "at").collect()
+    want = Counter((i, t) for i, _, s, e in stays for t in spine.instants if s <= t and (e or as_of or t) >= t)
+    assert Counter((r.stay, r["at"]) for r in got) == want
+    plan = active_at_each(df, spine)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_running_totals_at_any_instants(frame):
+    stays, spine = [s for s in random_stays(200, seed=4) if s[1] is not None], instants(40)
+    held = spine.window(frame(as_rows(stays), SCHEMA), "start", "end")
+    changes = steps(held, spine, ["key"], n=F.lit(1))
+    level = spread(running(changes, ["key"], ["n"]), spine, ["key"])
+    got = {(r.key, r["at"]): r.n for r in spine.at(level, "k", "at").collect()}
+    for key in range(4):
+        for t in spine.instants:
+            assert got.get((key, t), 0) == sum(k == key and s <= t and (e or t) >= t for _, k, s, e in stays)
+
+
+def test_a_spine_of_instants_is_sorted_and_has_each_once():
+    assert InstantSpine.of(["2020-01-02 00:00:00", datetime(2020, 1, 1), "2020-01-02 00:00:00"]).instants == (datetime(2020, 1, 1), datetime(2020, 1, 2))
+    assert instants("hourly").days == 19 * 24 + 12
+    with pytest.raises(ValueError):
+        InstantSpine.of([])
+
+
 def test_running_totals_equal_counting_each_day(spark, frame):
     stays = [s for s in random_stays(200, seed=3) if s[1] is not None]
     spine = DailySpine.of("2020-01-01", "2020-02-20", "07:00:00")

@@ -19,6 +19,14 @@ def test_repeat_rows_around_a_chunk(frame, n):
     assert repeat_rows(frame([(1, n)], "x int, n int"), "n").count() == n
 
 
+@pytest.mark.parametrize("rows", [[(1, 1_000_000)], [(1, 600_000), (2, 300_000), *[(i, 1) for i in range(3, 900)]]])
+def test_copies_of_one_row_are_dealt_over_the_tasks(spark, frame, rows):
+    tasks = repeat_rows(frame(rows, "x int, n int").coalesce(1), "n").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    made, parts = sum(r["count"] for r in tasks), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert made == sum(n for _, n in rows)
+    assert max(r["count"] for r in tasks) < 1.2 * made / parts
+
+
 def test_fan_out_left_repeats_like_a_join(frame):
     rows = frame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "k int, x string")
     partners = frame([(2,), (2,), (2,), (9,), (None,)], "k int")

@@ -15,7 +15,7 @@ which everything is compared with everything.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -92,6 +92,92 @@ class DailySpine:
         )
 
 
+@dataclass(frozen=True)
+class InstantSpine:
+    """Any instants, each once, in ascending order and numbered from 0.
+
+    The rank of an instant among them is looked up, not searched for: its day
+    says how many instants lie before that day, and only those of the day
+    itself, some tens for an hourly spine, are compared. A join on the day is
+    all it takes, with a table of one row per day between the first and the
+    last of them.
+    """
+
+    instants: tuple[datetime, ...]
+
+    @classmethod
+    def of(cls, instants) -> InstantSpine:
+        parsed = {datetime.fromisoformat(i) if isinstance(i, str) else i for i in instants}
+        if not parsed:
+            raise ValueError("a spine needs an instant")
+        return cls(tuple(sorted(parsed)))
+
+    @classmethod
+    def every(cls, first, last, step: timedelta) -> InstantSpine:
+        """Instants from ``first`` on at equal steps, up to ``last``."""
+        first, last = (datetime.fromisoformat(i) if isinstance(i, str) else i for i in (first, last))
+        return cls.of(first + i * step for i in range((last - first) // step + 1))
+
+    @property
+    def days(self) -> int:
+        """How many instants there are; ``steps`` and ``spread`` take the spine for days numbered so."""
+        return len(self.instants)
+
+    def _days(self, spark: SparkSession) -> DataFrame:
+        """Every day from the first instant's to the last one's: its instants and the number before them."""
+        first, last = self.instants[0].date(), self.instants[-1].date()
+        of_day: dict[date, list[datetime]] = {}
+        for i in self.instants:
+            of_day.setdefault(i.date(), []).append(i)
+        rows, before = [], 0
+        for n in range((last - first).days + 1):
+            day = first + timedelta(days=n)
+            own = of_day.get(day, [])
+            rows.append((day, before, own))
+            before += len(own)
+        return spark.createDataFrame(rows, "_day date, _before int, _own array<timestamp_ntz>")
+
+    def _with_rank(self, df: DataFrame, c: Column, name: str, inclusive: bool) -> DataFrame:
+        """Add the number of instants before ``c``, or up to and including it. Instants outside the spine have 0 or all."""
+        first, last = (F.lit(i.isoformat(sep=" ")).cast("timestamp_ntz") for i in (self.instants[0], self.instants[-1]))
+        held = F.least(F.greatest(c, first), last).cast("date")
+        near = F.filter("_own", (lambda x: x <= c) if inclusive else (lambda x: x < c))
+        return (
+            df.withColumn("_day", held)
+            .join(self._days(df.sparkSession), "_day", "left")
+            .withColumn(name, F.col("_before") + F.size(near))
+            .drop("_day", "_before", "_own")
+        )
+
+    def window(self, df: DataFrame, start, end) -> DataFrame:
+        """Keep the intervals that hold at some instant, with the numbers of the first and last as ``first_day`` and ``last_day``.
+
+        A missing ``end`` reaches to the end of the spine. The plain
+        comparisons in front say nothing new, but reach the scan.
+        """
+        begins, ends = instant(self.instants[0]), instant(self.instants[-1])
+        start, end = _col(start), _col(end)
+        held = df.filter((start <= ends) & (end.isNull() | (end >= begins)))
+        ranked = self._with_rank(self._with_rank(held, start, "first_day", False), F.coalesce(end, ends), "_upto", True)
+        return ranked.withColumn("last_day", F.col("_upto") - 1).drop("_upto").filter(F.col("first_day") <= F.col("last_day"))
+
+    def at(self, df: DataFrame, k: str, name: str) -> DataFrame:
+        """Put the instant numbered ``k`` beside each row."""
+        named = df.sparkSession.createDataFrame(list(enumerate(self.instants)), f"`{k}` int, `{name}` timestamp_ntz")
+        return df.join(named, k)
+
+
+def active_at_each(df: DataFrame, spine: InstantSpine, start="start", end="end", as_of=None) -> DataFrame:
+    """One row per interval and instant of the spine that it contains, both ends included, with the instant as ``at``.
+
+    ``as_of`` closes the intervals that have no end; without it they hold to
+    the end of the spine.
+    """
+    closed = _col(end) if as_of is None else F.coalesce(_col(end), instant(as_of))
+    held = spine.window(df, start, closed).withColumn("_k", F.explode(F.sequence("first_day", "last_day")))
+    return spine.at(held.drop("first_day", "last_day"), "_k", "at").drop("_k")
+
+
 def date_spine(spark: SparkSession, start, end) -> DataFrame:
     """Every day from ``start`` to ``end`` inclusive, as ``day`` and as ``fecha`` text."""
     first, last = (F.lit(_as_date(d).isoformat()).cast("date") for d in (start, end))

@@ -27,7 +27,12 @@ def count_per(df: DataFrame, key: str, name: str = "n") -> DataFrame:
 
 
 def repeat_rows(df: DataFrame, times: str | Column) -> DataFrame:
-    """Emit each row ``times`` times, at least once, as a left join with that many partners would."""
+    """Emit each row ``times`` times, at least once, as a left join with that many partners would.
+
+    A row of many copies is cut into chunks, and the chunks of all rows are
+    dealt out evenly before they become copies: no task makes more than its
+    share, however the copies are spread over the rows.
+    """
     columns = df.columns
     n = F.greatest(F.coalesce(F.col(times) if isinstance(times, str) else times, F.lit(1)), F.lit(1))
     chunks = (
@@ -35,7 +40,9 @@ def repeat_rows(df: DataFrame, times: str | Column) -> DataFrame:
         .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(_CHUNK).cast("bigint"))))
         .withColumn("_size", F.least(F.lit(_CHUNK).cast("bigint"), F.col("_n") - F.col("_from")))
     )
-    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size")))).select(*columns)
+    # A number of its own: by the size of the chunks alone they would be gathered into few tasks again.
+    dealt = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size")))).select(*columns)
 
 
 def with_partner_count(df: DataFrame, partners: DataFrame, on: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardbook.functions.codes import BED_STATE, FREE, OCCUPIED
 from wardbook.functions.scalars import decode, instant, percent, whole_days
-from wardbook.operators.intervals import DailySpine, active_at, running, sorted_by_day, spread, steps, sum_steps
+from wardbook.operators.intervals import DailySpine, InstantSpine, active_at, running, sorted_by_day, spread, steps, sum_steps
 from wardbook.operators.sets import ordered
 from wardbook.sources.tables import pick
 
@@ -113,14 +113,8 @@ def bed_state(t, fecha: str) -> DataFrame:
     return ordered(report, "SEDE", "TIPO", "PISO")
 
 
-def bed_use_history(t, start, end, as_of) -> DataFrame:
-    """Occupied and free beds at 07:00 of every day, by site, group and floor.
-
-    A bed with several stays at an instant counts once per stay; a stay
-    without admission counts as free, and so does a bed without a stay. Open
-    stays last until ``as_of``.
-    """
-    spine = DailySpine.of(start, end, "07:00:00")
+def _bed_use(t, spine: DailySpine | InstantSpine, as_of) -> tuple[DataFrame, list[str]]:
+    """Beds taken and free at every instant ``k`` of a spine, by the names of site, group and floor."""
     group = pick(t["hpngrupos"], bed_group="oid", TIPO="hgrnombre")
     names = ["SEDE", "TIPO", "PISO"]
     held = spine.window(stays(t), "start", F.coalesce(F.col("end"), instant(as_of)))
@@ -152,14 +146,36 @@ def bed_use_history(t, start, end, as_of) -> DataFrame:
         changes.join(beds(t).select("bed", "site", "bed_group", "floor"), "bed")
         .join(sites(t), "site").join(group, "bed_group").join(floors(t), "floor")
     )
-    daily = spread(running(sum_steps(placed, names, amounts), names, amounts), spine, names)
+    return spread(running(sum_steps(placed, names, amounts), names, amounts), spine, names), names
+
+
+def _by_state(daily: DataFrame, *columns) -> DataFrame:
+    """A row for each state that some bed is in."""
     states = F.array(
         F.struct(F.lit(OCCUPIED).alias("ESTADO"), F.col("taken").alias("CAMAS")),
         F.struct(F.lit(FREE).alias("ESTADO"), F.col("idle").alias("CAMAS")),
     )
-    report = (
-        daily.select("k", *names, F.explode(states).alias("s"))
-        .filter(F.col("s.CAMAS") > 0)
-        .select("k", *names, F.date_format(spine.date("k"), "dd/MM/yyyy").alias("FECHA"), "s.ESTADO", "s.CAMAS")
-    )
+    report = daily.select(*columns, F.explode(states).alias("s")).filter(F.col("s.CAMAS") > 0)
+    return report.select(*[c for c in report.columns if c != "s"], "s.ESTADO", "s.CAMAS")
+
+
+def bed_use_history(t, start, end, as_of) -> DataFrame:
+    """Occupied and free beds at 07:00 of every day, by site, group and floor.
+
+    A bed with several stays at an instant counts once per stay; a stay
+    without admission counts as free, and so does a bed without a stay. Open
+    stays last until ``as_of``.
+    """
+    spine = DailySpine.of(start, end, "07:00:00")
+    daily, names = _bed_use(t, spine, as_of)
+    report = _by_state(daily, "k", *names, F.date_format(spine.date("k"), "dd/MM/yyyy").alias("FECHA"))
     return sorted_by_day(report, spine, *names, "FECHA").drop("k")
+
+
+def bed_use_at(t, instants: InstantSpine, as_of) -> DataFrame:
+    """The same at any instants, as the hourly state is kept: their time is printed to the second, and rows have no order."""
+    daily, names = _bed_use(t, instants, as_of)
+    rows = instants.at(daily, "k", "_at")
+    return _by_state(rows, *names, F.date_format("_at", "dd/MM/yyyy HH:mm:ss").alias("FECHA")).select(
+        *names, "FECHA", "ESTADO", "CAMAS"
+    )
