@@ -29,7 +29,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import settled
+from .common import lean, settled
 
 # Text of a block; one task holds its distinct words, or their ids, at a time.
 BLOCK_CHARS = 6_000_000
@@ -282,9 +282,9 @@ def _met(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files: b
     texts = (texts if files else settled(texts)).withColumn("origin", F.spark_partition_id().cast("long"))
     slices = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = spark.sparkContext.broadcast(ranks)
-    words = texts.mapInArrow(_cut_words(pattern, slices), _ROWS).repartition("part").sortWithinPartitions("part")
-    replies = words.mapInArrow(_encode_words(table, pattern), _ROWS)
-    pieces = texts.mapInArrow(_cut_pieces(pattern), _ROWS)
+    words = texts.mapInArrow(lean(_cut_words(pattern, slices)), _ROWS).repartition("part").sortWithinPartitions("part")
+    replies = words.mapInArrow(lean(_encode_words(table, pattern)), _ROWS)
+    pieces = texts.mapInArrow(lean(_cut_pieces(pattern)), _ROWS)
     return replies.unionByName(pieces).repartition("block").sortWithinPartitions("block", "kind", "part")
 
 
@@ -296,7 +296,7 @@ def encode(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files:
     ``files`` says that ``docs`` is read from files as it is, so that it has
     the same rows in the same partitions each time; else it is written first.
     """
-    return _met(docs, ranks, pattern, files).mapInArrow(_whole, "doc_id long, ids array<int>")
+    return _met(docs, ranks, pattern, files).mapInArrow(lean(_whole), "doc_id long, ids array<int>")
 
 
 def round_trip(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, files: bool = False, with_ids: bool = False) -> DataFrame:
@@ -306,7 +306,7 @@ def round_trip(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str, fi
     """
     table = docs.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks})
     schema = f"{_DIGESTS}, ids array<int>" if with_ids else _DIGESTS
-    return _met(docs, ranks, pattern, files).mapInArrow(_there_and_back(table, with_ids), schema)
+    return _met(docs, ranks, pattern, files).mapInArrow(lean(_there_and_back(table, with_ids)), schema)
 
 
 def decode(encoded: DataFrame, ranks: list[tuple[bytes, int]]) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardbook.sources.staging import shared_folder
@@ -30,3 +34,27 @@ def packed(docs: DataFrame) -> DataFrame:
 def unpacked(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     """The columns out of ``_docs`` again, those named in ``new`` with new values."""
     return rows.select([(new[c] if c in new else F.col("_docs").getField(c)).alias(c) for c in columns])
+
+
+def _release() -> None:
+    """Give memory that is free inside this process back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a task, after which its worker keeps no free memory.
+
+    Workers are kept for later tasks, and an executor has several of them.
+    """
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _release()
+
+    return run

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import packed, settled, unpacked
+from .common import lean, packed, settled, unpacked
 from .quality import class_counts
 
 # Bound of the labelled sample that the models are fitted to.
@@ -339,7 +339,7 @@ def features(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "packed": packed})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang")
-    packed = rows.mapInPandas(made, "doc_id long, packed binary")
+    packed = rows.mapInPandas(lean(made), "doc_id long, packed binary")
     luck = F.shiftrightunsigned(F.xxhash64(F.lit(6), "doc_id", "packed"), 11) / F.lit(2.0**53)
     return packed.withColumn("luck", luck)
 
@@ -357,7 +357,7 @@ def _summed(pool: DataFrame):
             if np.ndim(total):
                 yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
 
-        rows = pool.coalesce(_SUMS).mapInArrow(part, "sums binary").collect()
+        rows = pool.coalesce(_SUMS).mapInArrow(lean(part), "sums binary").collect()
         return sum((np.frombuffer(r["sums"], dtype=np.float64) for r in rows), sums(*_unpacked([]), np.zeros(0)))
 
     return add

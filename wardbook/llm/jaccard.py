@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import packed, settled, unpacked
+from .common import lean, packed, settled, unpacked
 
 SHINGLE = 5
 LEAST = 80  # per cent
@@ -317,7 +317,7 @@ def _tokens(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows = []
             yield _record(rows, schema)
 
-    return settled(found.select("id", "text").mapInArrow(made, "id long, tokens binary").dropDuplicates(["id"]))
+    return settled(found.select("id", "text").mapInArrow(lean(made), "id long, tokens binary").dropDuplicates(["id"]))
 
 
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -379,12 +379,12 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every document with the id of its set, and the component of each set that is linked to others."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("place"), "text")
-    entries = texts.mapInArrow(_entries, "name long, id long, role int, about binary")
+    entries = texts.mapInArrow(lean(_entries), "name long, id long, role int, about binary")
     found = entries.repartition("name").sortWithinPartitions("name", "id").mapInArrow(
-        _lists, "name long, leader long, id long, role int, about binary"
+        lean(_lists), "name long, leader long, id long, role int, about binary"
     )
     found = settled(found)
-    members = settled(found.filter("about is not null").select("id", "about").mapInArrow(_members, _SETS_SQL))
+    members = settled(found.filter("about is not null").select("id", "about").mapInArrow(lean(_members), _SETS_SQL))
     lists = found.filter("about is null").drop("about")
     sets = settled(
         members.filter("n > 0")

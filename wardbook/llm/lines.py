@@ -23,7 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import packed, settled, unpacked
+from .common import lean, packed, settled, unpacked
 
 LEAST_WORDS = 50
 
@@ -98,7 +98,7 @@ def _ranked(rows: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Later copies of repeated runs: doc_id, key, first line and number of lines. Lines without words don't count."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("key"), "text")
-    lines = texts.mapInPandas(_lines(least), "doc_id long, key long, seq int, r1 long, r2 long, runs array<int>")
+    lines = texts.mapInPandas(lean(_lines(least)), "doc_id long, key long, seq int, r1 long, r2 long, runs array<int>")
     # Rows with equal id and text have equal places and would meet one another in every join below.
     ranks = settled(_ranked(lines).distinct())
     longest = ranks.agg(F.max(F.array_max("runs"))).first()[0] or 0
@@ -169,7 +169,9 @@ def cut_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     same = F.col("_docs.doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_line_key") == F.col("_key"))
     # The spans grow with the corpus: merged at every size, never broadcast.
     rows = keyed.join(spans.hint("merge"), same, "left")
-    return rows.select("_docs", F.pandas_udf(_without, _CUT)("_docs.text", "_spans").alias("_cut"))
+    # Said to be non-deterministic, or else a filter on what it returns would make it run a second time.
+    without = F.pandas_udf(_without, _CUT).asNondeterministic()
+    return rows.select("_docs", without("_docs.text", "_spans").alias("_cut"))
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import packed, settled, unpacked
+from .common import lean, packed, settled, unpacked
 
 BLOCK = 128
 SLOTS = 16_384
@@ -185,7 +185,7 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
                 counts = shard_counts(int(shard), slots, probabilities, seed, limits, end)
                 yield pd.DataFrame({"shard": int(shard), "number": np.arange(len(counts), dtype=np.int32), "n": counts})
 
-    counts = spark.range(n_shards).mapInPandas(drawn, "shard long, number int, n long")
+    counts = spark.range(n_shards).mapInPandas(lean(drawn), "shard long, number int, n long")
     before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     runs = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
 
@@ -202,7 +202,7 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
 
     # A run of a few bytes becomes thousands of slots: deal the runs out by what they become.
     runs = runs.repartition(max(1, n_slots // _SLOTS_PER_TASK), "shard", "number")
-    slots_ = runs.mapInPandas(filled, "shard long, number int, block long")
+    slots_ = runs.mapInPandas(lean(filled), "shard long, number int, block long")
     # Written, so that the join sees its true size; it grows with the corpus.
     taken = settled(slots_.groupBy("number", "block").agg(F.count("*").alias("times")))
     few = F.broadcast(setting.select("source", "number"))  # at most MAX_SOURCES rows
