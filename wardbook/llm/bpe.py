@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import lean, settled
 
 # Text of a block; one task holds its distinct words, or their ids, at a time.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 12_000_000
 # Positions that travel as one row.
 PIECE_TOKENS = 500_000
 
@@ -80,26 +80,27 @@ class Block:
         self.words: dict[str, int] = {}
         self.docs: list[tuple[int | None, np.ndarray]] = []
         self.chars = 0
+        self.rows = 0
 
-    def _list(self, known: dict[str, int], chunk: str, space: str) -> int:
+    def _list(self, known: dict[str, int], chunk: str, space: str) -> None:
         words = self.words
+        known[chunk] = len(self._inside)
         self._inside.append([words.setdefault(w, len(words)) for w in self._find(space + chunk)])
-        known[chunk] = len(self._inside) - 1
-        return known[chunk]
 
-    def add(self, doc_id: int | None, text: str) -> None:
+    def add(self, doc_id: int | None, text: str, place: bool = True) -> None:
+        """Take up a document; without ``place`` only its words, which get the same numbers."""
         chunks = _SPLIT.split(text) if _DOUBLE.search(text) else text.split(" ")
-        numbers = list(map(self._later.get, chunks))
-        numbers[0] = self._first.get(chunks[0])
-        if None in numbers:
-            if numbers[0] is None:
-                numbers[0] = self._list(self._first, chunks[0], "")
-            for i in range(1, len(numbers)):
-                if numbers[i] is None:
-                    n = self._later.get(chunks[i])
-                    numbers[i] = self._list(self._later, chunks[i], " ") if n is None else n
-        self.docs.append((doc_id, np.array(numbers, dtype=np.int32)))
+        first = chunks.pop(0)
+        if first not in self._first:
+            self._list(self._first, first, "")
+        # In a fixed order, so that each pass over the texts numbers the words alike.
+        for chunk in sorted(set(chunks).difference(self._later)):
+            self._list(self._later, chunk, " ")
+        if place:
+            numbers = np.fromiter(map(self._later.__getitem__, chunks), dtype=np.int32, count=len(chunks))
+            self.docs.append((doc_id, np.concatenate([[self._first[first]], numbers]).astype(np.int32)))
         self.chars += len(text)
+        self.rows += 1
 
     def tokens(self) -> Iterator[tuple[int | None, np.ndarray]]:
         """Each document with the numbers of its pre-tokens in order."""
@@ -125,7 +126,7 @@ def _record(rows: list[tuple], schema: pa.Schema = _ARROW) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _blocks(batches, pattern: str) -> Iterator[tuple[int, Block]]:
+def _blocks(batches, pattern: str, place: bool) -> Iterator[tuple[int, Block]]:
     """The texts of a partition, block by block. The same rows give the same blocks each time."""
     number, block = None, Block(pattern)
     for batch in batches:
@@ -134,17 +135,17 @@ def _blocks(batches, pattern: str) -> Iterator[tuple[int, Block]]:
             if number is None:
                 number = some["origin"][0].as_py() << 32
             for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
-                block.add(doc_id, text or "")
+                block.add(doc_id, text or "", place)
                 if block.chars >= BLOCK_CHARS:
                     yield number, block
                     number, block = number + 1, Block(pattern)
-    if block.docs:
+    if block.rows:
         yield number, block
 
 
 def _cut_words(pattern: str, slices: int):
     def cut(batches):
-        for number, block in _blocks(batches, pattern):
+        for number, block in _blocks(batches, pattern, False):
             words = list(block.words)
             encoded = [w.encode() for w in words]
             part = np.array([xxhash.xxh3_64_intdigest(w) % slices for w in encoded], dtype=np.int64)
@@ -163,7 +164,7 @@ def _cut_words(pattern: str, slices: int):
 
 def _cut_pieces(pattern: str):
     def cut(batches):
-        for number, block in _blocks(batches, pattern):
+        for number, block in _blocks(batches, pattern, True):
             part, ids, tokens, held = 0, [], [], 0
             for doc_id, own in block.tokens():
                 ids.append(doc_id)
