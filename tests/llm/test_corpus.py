@@ -294,12 +294,40 @@ def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
     return out
 
 
-def test_targets_reshare_the_excess():
+def test_targets_reshare_the_excess(spark):
+    def targets(sizes):
+        sums = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        return {r["source"]: r["target"] for r in mixing.source_targets(sums).collect()}
+
     sizes = {"b": 10, "a": 1000, "é": 500, "z": 3, None: 700, "c": 0}
-    got, expected = mixing.targets(sizes), plain_targets(sizes)
-    assert got == pytest.approx(expected, rel=1e-6, abs=1e-6)
+    got = targets(sizes)
+    assert got == pytest.approx(plain_targets(sizes), rel=1e-6, abs=1e-6)
     assert sum(got.values()) == pytest.approx(1.5 * sum(sizes.values()))
-    assert mixing.targets({}) == {}
+    rng = np.random.default_rng(5)
+    sizes = {f"s{i}": int(n) for i, n in enumerate(10 ** rng.uniform(0, 6, 300))}
+    assert targets(sizes) == pytest.approx(plain_targets(sizes), rel=1e-6, abs=1e-6)
+    assert targets({}) == {}
+
+
+def test_sources_are_numbered_by_code_point(spark):
+    names = [None, "", "a", "B", "é", "\uffff", "\U0001f600"] + [f"host{i}.example" for i in range(3000)]
+    sums = spark.createDataFrame([(s, 1) for s in names], "source string, source_size long").repartition(7)
+    rows = sorted(mixing.numbered(sums).collect(), key=lambda r: r["number"])
+    assert [r["number"] for r in rows] == list(range(len(names)))
+    assert [r["source"] for r in rows] == sorted(names[1:], key=lambda s: s.encode()) + [None]
+
+
+def test_more_sources_than_a_driver_would_list(spark):
+    """Every other document is a source of its own; half of all words are in one."""
+    docs = spark.range(400_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("h"), F.col("id"))).alias("source"),
+        F.lit("two words").alias("text"),
+    )
+    rows = mixing.mixed(docs)
+    got = rows.groupBy(F.col("source_size") > 2).agg(F.count("*"), F.sum("target") / F.count("*"), F.max("taken"), F.sum("taken")).collect()
+    hot, single = (next(r for r in got if r[0] is own) for own in (True, False))
+    assert (hot[1], single[1]) == (200_000, 200_000) and max(hot[3], single[3]) <= 4
+    assert single[4] + hot[4] == pytest.approx(1.5 * 800_000, rel=0.01)
 
 
 def test_mix_contract(given):
@@ -348,11 +376,43 @@ def test_permutation(n):
         assert sorted(mixing.permutation(np.arange(n), n, key).tolist()) == list(range(n))
 
 
-def test_shard_counts_sum_to_slots():
-    p = np.array([0.5, 0.3, 0.2])
-    for shard in range(20):
-        counts = mixing.shard_counts(shard, 101, p, 1)
-        assert counts.sum() == 101 and (np.abs(counts - 101 * p) <= 2).all()
+def test_permutations_of_several_ranges_at_once():
+    sizes = [1, 2, 5, 64, 1000]
+    index, n, key = (np.concatenate(x) for x in zip(*[(np.arange(k), np.full(k, k), np.full(k, 9 + k)) for k in sizes], strict=True))
+    got = mixing.permutation(index, n, key)
+    for k in sizes:
+        assert got[n == k].tolist() == mixing.permutation(np.arange(k), k, 9 + k).tolist()
+        assert sorted(got[n == k]) == list(range(k))
+
+
+@pytest.mark.parametrize("few", [0, 64, 10**9])
+def test_draws_are_multinomial(few):
+    """Mean, variance and covariance of a source's slots in 8 shards, over 4,000 sources, however the tree is cut."""
+    n, shards = 200, 8
+    tables = mixing.dealt(list(mixing.halves([(s, 150, 0, shards, n, 0) for s in range(4000)], few, 7)), 7)
+    counts = tables.groupby(["number", "shard"]).size().unstack(fill_value=0).to_numpy()
+    assert (counts.sum(1) == n).all()
+    p = 1 / shards
+    assert np.abs(counts.mean(0) - n * p).max() < 5 * np.sqrt(n * p * (1 - p) / 4000)
+    cov = np.cov(counts.T)
+    assert cov.diagonal() == pytest.approx(np.full(shards, n * p * (1 - p)), rel=0.12)
+    assert cov[~np.eye(shards, dtype=bool)].mean() == pytest.approx(-n * p * p, rel=0.12)
+
+
+def test_slots_take_every_block_in_each_pass(spark, monkeypatch):
+    """Sources of all sizes, trees cut into small nodes: totals exact, one block per pass, shards of like size."""
+    monkeypatch.setattr(mixing, "_SLOTS_PER_TASK", 300)
+    monkeypatch.setattr(mixing, "FEW", 8)
+    plan = [(0, 5000, 7500), (1, 1, 2), (2, 40, 80), (3, 300, 0), (4, 77, 30)]
+    total = sum(p[2] for p in plan)
+    frame = spark.createDataFrame(plan, "number long, blocks long, n_slots long")
+    rows = mixing.slots_of(frame, 20, total, 3).toPandas()
+    assert sorted(map(tuple, rows.to_numpy())) == sorted(map(tuple, mixing.slots_of(frame.repartition(3), 20, total, 3).toPandas().to_numpy()))
+    for number, blocks, n in plan:
+        times = rows[rows["number"] == number]["block"].value_counts()
+        assert times.sum() == n and (not n or times.max() <= -(-n // blocks)) and (n < blocks or len(times) == blocks)
+    sizes = rows["shard"].value_counts()
+    assert len(sizes) == 20 and (np.abs(sizes - total / 20) < 6 * np.sqrt(total / 20)).all()
 
 
 def test_small_sources_reach_their_target(docs_of):
@@ -371,14 +431,6 @@ def test_small_sources_reach_their_target(docs_of):
     assert taken["hot"] == pytest.approx(target["hot"], abs=2 * mixing.BLOCK)
 
 
-def test_draws_of_all_shards_add_up():
-    p = np.array([0.7, 0.2999, 0.0001])
-    want = p * 20_000
-    counts = [mixing.shard_counts(i, 100, p, 3, np.ceil(want).astype(int), 20_000.0) for i in range(201)]
-    assert (np.abs(np.sum(counts, 0) - want) <= 1).all() and np.min(counts) >= 0
-    assert all(c.sum() == 100 for c in counts[:199])
-
-
 # Pipeline
 
 

@@ -2,19 +2,24 @@
 
 1. Documents of a source stand in a fixed pseudorandom order; their words,
    end to end, are cut into blocks of ``BLOCK`` words.
-2. The mix is a row of slots, dealt to output shards of ``SLOTS`` each. The
-   slots of a source stand at even distances from a seeded start, and a shard
-   holds the next ``SLOTS`` of all. So the draws of all shards add up to what
-   each source has to give, and each shard counts its own without the others.
-3. A source's slots are counted through all shards, and the j-th of them
-   takes block ``permutation(j)``: a pass over all blocks in pseudorandom
-   order, then a second one in another order.
+2. The mix is a row of slots in output shards of about ``SLOTS`` each. How many
+   slots of a source lie in each shard is a multinomial draw over the shards of
+   all that the source has to give. It is drawn down a binary tree of the shards,
+   one binomial count per node, so the shards' counts add up exactly, a node is
+   drawn again alike wherever it is needed, and a shard's share of a source
+   starts where the shards before it end.
+3. The j-th slot of a source takes block ``permutation(j)``: a pass over all
+   blocks in pseudorandom order, then a second one in another order.
 4. Blocks and slots meet by block number.
+
+Sources and their targets are a table; only sums over all sources reach the
+driver, so there may be as many as there are documents.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,33 +29,52 @@ from .common import lean, packed, settled, unpacked
 
 BLOCK = 128
 SLOTS = 16_384
-# Weights are a setting with one entry per source, so the sources have to fit the driver.
-MAX_SOURCES = 100_000
+# Slots of a node that are dealt to its shards one by one instead of by halves.
+FEW = 64
 _WORDS_PER_BUCKET = 200_000
+_BUCKETS_PER_STEP = 4_096
 _SLOTS_PER_TASK = 500_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_NODE = "number long, blocks long, low long, high long, n long, first long"
 
 
-def targets(sizes: dict, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> dict:
-    """Words wanted of each source: ``share`` of all words by weight, none above ``most`` times its own.
+def numbered(sums: DataFrame) -> DataFrame:
+    """The sources with ``number``, counted from 0 by code point, null last.
 
-    Sources take the weights in turn, by code point, null last. What one
-    cannot take goes to the others by weight, until none is above its limit.
+    They are sorted in ranges; each range is counted on from the ones before it.
+    """
+    placed = settled(sums.orderBy(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("part", F.shiftright("at", 33))
+    # One row per range of the sort, that is per partition.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(starts, "part").withColumn("number", F.col("start") + within).drop("at", "part", "start")
+
+
+def source_targets(sums: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """``number``, ``source``, ``source_size`` and ``target``, the words wanted of each source.
+
+    ``sums`` has a row per ``source`` with its ``source_size``. All words times
+    ``share`` go to the sources by weight, none above ``most`` times its own.
+    Sources take the weights in turn, by code point, null last. What one cannot
+    take goes to the others by weight, until none is above its limit: each round
+    sums the sizes of the full sources and the weights of the others.
     """
-    names = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    left, open_, out = share * sum(sizes.values()), list(names), {}
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        full = [s for s in open_ if unit * weight[s] > most * sizes[s]]
-        if not full:
-            out |= {s: unit * weight[s] for s in open_}
-            break
-        for s in full:
-            out[s] = most * sizes[s]
-            left -= out[s]
-        open_ = [s for s in open_ if s not in out]
-    return out
+    if not weights or min(weights) <= 0:
+        raise ValueError("weights must be positive")
+    turn = F.array(*[F.lit(float(w)) for w in weights])
+    known = settled(numbered(sums).withColumn("weight", F.get(turn, F.pmod("number", F.lit(len(weights))).cast("int"))))
+    limit = F.col("source_size") * float(most)
+    unit, before = 0.0, -1.0
+    while unit > before:
+        full = limit < F.lit(unit) * F.col("weight")
+        sizes, held, free = known.agg(
+            F.sum("source_size"), F.sum(F.when(full, F.col("source_size"))), F.sum(F.when(~full, F.col("weight")))
+        ).first()
+        before, unit = unit, (share * (sizes or 0) - most * (held or 0)) / free if free else float("inf")
+    wanted = F.least(F.lit(unit) * F.col("weight"), limit)
+    return known.select("number", "source", "source_size", wanted.alias("target"))
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -60,51 +84,107 @@ def _mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def permutation(index: np.ndarray, n: int, key: int) -> np.ndarray:
-    """Pseudorandom permutation of 0..n-1, computed entry by entry.
+def permutation(index: np.ndarray, n, key) -> np.ndarray:
+    """Pseudorandom permutation of 0..n-1, computed entry by entry; ``n`` and ``key`` may differ by entry.
 
     Four Feistel rounds permute the next power of four; an image outside the
     range goes through again until it falls inside.
     """
-    half = max(1, (max(1, n - 1).bit_length() + 1) // 2)
-    low, shift = np.uint64((1 << half) - 1), np.uint64(half)
-    x = index.astype(np.uint64).copy()
-    todo = np.ones(len(x), dtype=bool)
-    while todo.any():
-        left, right = x[todo] >> shift, x[todo] & low
-        for round_ in range(4):
-            salt = np.uint64((key * 0x9E3779B97F4A7C15 + round_ * 0xD1342543DE82EF95) % (1 << 64))
-            left, right = right, left ^ (_mix64(right ^ salt) & low)
-        x[todo] = (left << shift) | right
-        todo &= x >= n
+    x = index.astype(np.uint64)
+    n, key = (np.broadcast_to(np.asarray(v, dtype=np.uint64), x.shape) for v in (n, key))
+    bits = np.frexp((n - np.uint64(1)).astype(np.float64))[1]
+    shift = np.maximum(1, (bits + 1) // 2).astype(np.uint64)
+    low = (np.uint64(1) << shift) - np.uint64(1)
+    todo = np.arange(len(x))
+    while len(todo):
+        left, right = x[todo] >> shift[todo], x[todo] & low[todo]
+        with np.errstate(over="ignore"):
+            salt = key[todo] * np.uint64(0x9E3779B97F4A7C15)
+            for _ in range(4):
+                left, right = right, left ^ (_mix64(right ^ salt) & low[todo])
+                salt = salt + np.uint64(0xD1342543DE82EF95)
+        x[todo] = (left << shift[todo]) | right
+        todo = todo[x[todo] >= n[todo]]
     return x.astype(np.int64)
 
 
-def _dealt(at: float, probabilities: np.ndarray, starts: np.ndarray, most: np.ndarray | None) -> np.ndarray:
-    """Slots of each source up to a point of the row."""
-    n = np.floor(at * probabilities + starts).astype(np.int64)
-    return n if most is None else np.minimum(n, most)
+def halves(nodes: Iterable[tuple], few: int, seed: int) -> Iterator[tuple]:
+    """Draw a source's slots down the tree of shards, to single shards or nodes of ``few`` slots at most.
+
+    A node (number, blocks, low, high, n, first) has ``n`` slots of source
+    ``number``, from its ``first`` on, in the shards from ``low`` up to ``high``.
+    Each slot lies in any of them with equal chance, so the left half has a
+    binomial share, seeded by the node itself.
+    """
+    stack = list(nodes)
+    while stack:
+        number, blocks, low, high, n, first = stack.pop()
+        if not n:
+            continue
+        if high - low == 1 or n <= few:
+            yield number, blocks, low, high, n, first
+            continue
+        middle = (low + high) // 2
+        left = int(np.random.default_rng([seed, number, low, high]).binomial(n, (middle - low) / (high - low)))
+        stack.append((number, blocks, middle, high, n - left, first + left))
+        stack.append((number, blocks, low, middle, left, first))
+
+
+def dealt(nodes: list[tuple], seed: int) -> pd.DataFrame:
+    """The slots of nodes with their shard and block. The slots of a node go to its shards one by one, in the order of shards."""
+    number, blocks, low, high, n, first = np.array(nodes, dtype=np.int64).reshape(-1, 6).T
+    node = np.repeat(np.arange(len(n)), n)
+    within = np.arange(len(node)) - np.repeat(np.cumsum(n) - n, n)
+    j, own = first[node] + within, number[node]
+    with np.errstate(over="ignore"):
+        source = _mix64(own.astype(np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
+        chance = (_mix64(source ^ _mix64(j.astype(np.uint64))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    shard = low[node] + (chance * (high - low)[node]).astype(np.int64)
+    shard = shard[np.lexsort((shard, node))]
+    turn, at = np.divmod(j, blocks[node])
+    with np.errstate(over="ignore"):
+        key = source + turn.astype(np.uint64)
+    return pd.DataFrame({"shard": shard, "number": own, "block": permutation(at, blocks[node], key)})
+
 
+def slots_of(plan: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
+    """Every slot of the mix: ``shard``, ``number`` of the source, ``block``.
 
-def shard_counts(shard: int, slots: int, probabilities: np.ndarray, seed: int, most: np.ndarray | None = None, end: float | None = None) -> np.ndarray:
-    """How many of a shard's slots each source fills; ``most`` bounds those of all shards, ``end`` is the length of the row."""
-    starts = np.random.default_rng(seed).random(len(probabilities))
+    ``plan`` has ``number``, ``blocks`` and ``n_slots`` of each source. A source
+    may hold any share of the slots: its tree is cut into nodes of a bounded
+    number of slots, which are dealt out over the tasks before they are drawn
+    further.
+    """
 
-    def boundary(wanted: int) -> float:
-        """The first point up to which so many slots are dealt, the same for both shards beside it."""
-        low, high = 0.0, float(wanted + len(probabilities) + 1) if end is None else end
-        if not wanted or _dealt(high, probabilities, starts, most).sum() <= wanted:
-            return high if wanted else low
-        for _ in range(64):
-            middle = (low + high) / 2
-            if _dealt(middle, probabilities, starts, most).sum() >= wanted:
-                high = middle
-            else:
-                low = middle
-        return high
+    def tops(frames):
+        for frame in frames:
+            held = []
+            for node in halves(frame.astype("int64").itertuples(index=False, name=None), _SLOTS_PER_TASK, seed):
+                held.append(node)
+                if len(held) == 10_000:
+                    yield pd.DataFrame(np.array(held, dtype=np.int64), columns=frame.columns)
+                    held = []
+            if held:
+                yield pd.DataFrame(np.array(held, dtype=np.int64), columns=frame.columns)
 
-    first, last = (_dealt(boundary(wanted), probabilities, starts, most) for wanted in (shard * slots, (shard + 1) * slots))
-    return last - first
+    def filled(frames):
+        held, size = [], 0
+        for frame in frames:
+            for node in halves(frame.itertuples(index=False, name=None), FEW, seed):
+                held.append(node)
+                size += node[4]
+                if size >= _SLOTS_PER_TASK:
+                    yield dealt(held, seed)
+                    held, size = [], 0
+        if held:
+            yield dealt(held, seed)
+
+    roots = plan.filter("n_slots > 0").select(
+        "number", "blocks", F.lit(0).cast("long").alias("low"), F.lit(shards).cast("long").alias("high"),
+        F.col("n_slots").alias("n"), F.lit(0).cast("long").alias("first"),
+    )
+    nodes = roots.mapInPandas(lean(tops), _NODE).repartition(max(1, total // _SLOTS_PER_TASK), "number", "low")
+    return nodes.mapInPandas(lean(filled), "shard long, number long, block long")
 
 
 def _words(docs: DataFrame, row) -> DataFrame:
@@ -119,30 +199,35 @@ def _words(docs: DataFrame, row) -> DataFrame:
     )
 
 
-def _pieces(rows: DataFrame, total: int, block: int) -> DataFrame:
+def _starts(sums: DataFrame) -> DataFrame:
+    """Words of a source in the buckets before each one, summed in two levels, so that no task holds all buckets of a source."""
+    step = F.expr(f"bucket div {_BUCKETS_PER_STEP}")
+    sums = sums.withColumn("step", step)
+    ahead = Window.partitionBy("number").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = sums.groupBy("number", "step").agg(F.sum("n").alias("n"))
+    steps = steps.select("number", "step", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("number", "step").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    own = sums.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return own.join(steps, ["number", "step"]).select("number", "bucket", (F.col("base") + F.col("inner")).alias("offset"))
+
+
+def _pieces(known: DataFrame, total: int, block: int) -> DataFrame:
     """The words of each document by block: ``start`` is its first word there, ``words`` their number.
 
     A source may hold any share of the words: it is cut by ``place`` into
     buckets, whose sizes give where each bucket's words start.
     """
     buckets = max(64, total // _WORDS_PER_BUCKET)
-    cut = rows.filter("size > 0").withColumn("bucket", F.pmod("place", F.lit(buckets)))
-    sums = cut.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        F.col("source").alias("_source"), F.col("bucket").alias("_bucket"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-    )
-    within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
-    placed = cut.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
-        offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))
-    )
+    cut = known.filter("size > 0").select("row", "doc_id", "place", "size", "number", F.pmod("place", F.lit(buckets)).alias("bucket"))
+    offsets = _starts(cut.groupBy("number", "bucket").agg(F.sum("size").alias("n")))
+    within = Window.partitionBy("number", "bucket").orderBy("place", "doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["number", "bucket"])
     first = F.col("offset") + F.col("ahead")
-    span = placed.select("row", "source", first.alias("first"), (first + F.col("size")).alias("end"))
+    span = placed.select("row", "number", first.alias("first"), (first + F.col("size")).alias("end"))
     blocks = F.expr(f"sequence(first div {block}, (end - 1) div {block})")
-    each = span.select("row", "source", "first", "end", F.explode(blocks).alias("block"))
+    each = span.select("row", "number", "first", "end", F.explode(blocks).alias("block"))
     low, high = F.greatest("first", F.col("block") * block), F.least("end", (F.col("block") + 1) * block)
-    return each.select("row", "source", "block", (low - F.col("first")).alias("start"), (high - low).alias("words"))
+    return each.select("row", "number", "block", (low - F.col("first")).alias("start"), (high - low).alias("words"))
 
 
 def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, block: int = BLOCK, slots: int = SLOTS, seed: int = 20, row=None) -> tuple[DataFrame, DataFrame]:
@@ -155,63 +240,25 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     """
     if int(most) != most:
         raise ValueError("a source is passed over a whole number of times")
-    spark = docs.sparkSession
     rows = settled(_words(docs, row))
-    sums = rows.groupBy("source").agg(F.sum("size").alias("n"))
-    listed = sums.limit(MAX_SOURCES + 1).collect()
-    if len(listed) > MAX_SOURCES:
-        raise ValueError(f"weights for more than {MAX_SOURCES} sources")
-    sizes = {r["source"]: r["n"] for r in listed}
-    wanted = targets(sizes, weights, share, most)
-    names = sorted(sizes, key=lambda s: (s is None, s or ""))
-    table = pd.DataFrame(
-        {"source": pd.Series(names, dtype=object), "source_size": [sizes[s] for s in names], "target": [float(wanted[s]) for s in names], "number": range(len(names))}
-    )
-    setting = spark.createDataFrame(
-        [tuple(r) for r in table.astype(object).itertuples(index=False)], "source string, source_size long, target double, number int"
-    )
-    n_blocks = np.array([-(-sizes[s] // block) for s in names], dtype=np.int64)
+    sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     # A source's last block may be short, so a slot of it brings size / blocks words on average.
-    per_slot = np.array([sizes[s] / b if b else 1.0 for s, b in zip(names, n_blocks, strict=True)])
-    want = np.array([wanted[s] for s in names]) / per_slot
-    n_slots = int(round(want.sum()))
-    probabilities = want / want.sum() if n_slots else want
-    end, limits = float(want.sum()), int(most) * n_blocks
-    n_shards = -(-int(_dealt(end, probabilities, np.random.default_rng(seed).random(len(names)), limits).sum()) // slots)
-
-    def drawn(frames):
-        for frame in frames:
-            for shard in frame["id"]:
-                counts = shard_counts(int(shard), slots, probabilities, seed, limits, end)
-                yield pd.DataFrame({"shard": int(shard), "number": np.arange(len(counts), dtype=np.int32), "n": counts})
-
-    counts = spark.range(n_shards).mapInPandas(lean(drawn), "shard long, number int, n long")
-    before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
-
-    def filled(frames):
-        for frame in frames:
-            for shard, number, n, first in frame[["shard", "number", "n", "first"]].itertuples(index=False):
-                j = np.arange(first, first + n, dtype=np.int64)
-                total = int(n_blocks[number])
-                for turn in range(int(most)):
-                    own = j[(j >= turn * total) & (j < (turn + 1) * total)] - turn * total
-                    if len(own):
-                        at = permutation(own, total, seed * 1_000_003 + int(number) * 31 + turn)
-                        yield pd.DataFrame({"shard": shard, "number": np.int32(number), "block": at})
-
-    # A run of a few bytes becomes thousands of slots: deal the runs out by what they become.
-    runs = runs.repartition(max(1, n_slots // _SLOTS_PER_TASK), "shard", "number")
-    slots_ = runs.mapInPandas(lean(filled), "shard long, number int, block long")
+    blocks = F.expr(f"(source_size + {block - 1}) div {block}")
+    slots_wanted = F.floor(F.col("target") * F.col("blocks") / F.col("source_size") + 0.5)
+    plan = settled(
+        sources.withColumn("blocks", blocks).withColumn(
+            "n_slots", F.when(F.col("source_size") > 0, F.least(slots_wanted, F.col("blocks") * int(most))).otherwise(0).cast("long")
+        )
+    )
+    words, n_slots = (n or 0 for n in plan.agg(F.sum("source_size"), F.sum("n_slots")).first())
+    n_shards = max(1, round(n_slots / slots))
     # Written, so that the join sees its true size; it grows with the corpus.
-    taken = settled(slots_.groupBy("number", "block").agg(F.count("*").alias("times")))
-    few = F.broadcast(setting.select("source", "number"))  # at most MAX_SOURCES rows
-    pieces = _pieces(rows, sum(sizes.values()), block)
-    pieces = pieces.join(few.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    chosen = pieces.join(taken, ["number", "block"]).select("row", "start", "words", "times")
-    setting = F.broadcast(setting.drop("number").withColumnRenamed("source", "_source"))
-    known = rows.join(setting, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return known, chosen
+    taken = settled(slots_of(plan, n_shards, n_slots, seed).groupBy("number", "block").agg(F.count("*").alias("times")))
+    # No hint: the table of sources is broadcast if it is small, else a hot source is split by the skew join.
+    about = plan.select(F.col("source").alias("_source"), "number", "source_size", "target")
+    known = rows.join(about, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    chosen = _pieces(known, words, block).join(taken, ["number", "block"]).select("row", "start", "words", "times")
+    return known.drop("number"), chosen
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
