@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
 from wardbook.functions import codes as k
 from wardbook.operators.intervals import InstantSpine
 from wardbook.plans import (
     admissions as adm,
     appointments as app,
     billing,
+    carried,
     emergency as er,
     movements,
     occupancy as occ,
@@ -21,6 +24,7 @@ from .case import Check, case_of, days, dmy, oracle, short
 from .samples import EVENTS_AS_OF, EVENTS_START, ORDERS_AS_OF, ORDERS_START, YEAR
 
 START_DAY, END_DAY = ORDERS_START[:10], ORDERS_AS_OF[:10]
+MIDDLE_DAY = "1996-06-15"
 EVENTS_FIRST, EVENTS_LAST = EVENTS_START[:10], EVENTS_AS_OF[:10]
 FECHA = "30/06/2001 23:00"
 
@@ -394,12 +398,23 @@ def _appointments_sql(first: str, last: str) -> str:
 
 R17 = _appointments_sql(EVENTS_FIRST, EVENTS_LAST)
 
+def _carried(c):
+    """The state of what was known at an instant, and then all that has changed since."""
+    keys, now = occ.places("reference"), carried.placed_stays(c.t)
+    at = F.lit(f"{MIDDLE_DAY} 12:00:00").cast("timestamp_ntz")
+    then = now.filter(F.col("start") <= at).withColumn("end", F.when(F.col("end") <= at, F.col("end")))
+    state = carried.changes_by_day(carried.changed(None, then), keys)
+    state = carried.carried(state, carried.changes_by_day(carried.changed(then, now), keys), keys)
+    return carried.occupancy_of_state(c.t, state, START_DAY, END_DAY)
+
+
 CHECKS = {
     "r1_occupancy": Check(lambda c: occ.occupancy(c.t, ORDERS_AS_OF), R1),
     "r1_occupancy_by_site_and_floor": Check(
         lambda c: occ.occupancy(c.t, ORDERS_AS_OF, grain="site_floor"), _occupancy_sql(_ONE_INSTANT, by_site=True)
     ),
     "r2_occupancy_history": Check(lambda c: occ.occupancy_history(c.t, START_DAY, END_DAY), R2),
+    "r2_occupancy_carried": Check(_carried, R2),
     "r2_occupancy_history_by_site_and_floor": Check(
         lambda c: occ.occupancy_history(c.t, START_DAY, END_DAY, grain="site_floor"),
         _occupancy_sql(_spine(START_DAY, END_DAY, "23:59:59"), by_site=True),

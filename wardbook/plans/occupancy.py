@@ -16,7 +16,7 @@ from .common import beds, floors, sites, stays
 _INSTANT_TEXT = "yyyy-M-d HH:mm:ss"
 
 
-def _grain(grain: str) -> list[str]:
+def places(grain: str) -> list[str]:
     """Keys of the occupied counts.
 
     ``reference`` counts them per floor only, so a floor spread over several
@@ -45,7 +45,7 @@ def _occupancy_columns(df: DataFrame, at) -> DataFrame:
 
 def occupancy(t, as_of, grain: str = "reference") -> DataFrame:
     """Beds, occupied beds and bed-days per site and floor at one instant."""
-    keys = _grain(grain)
+    keys = places(grain)
     at = instant(as_of)
     # Summed per bed before the beds are joined, so the join carries no more rows than there are beds.
     per_bed = (
@@ -72,7 +72,7 @@ def occupancy_history(t, start, end, grain: str = "reference") -> DataFrame:
     (day - day of entry), so the open stays of a floor are worth
     day * count - sum of their entry days.
     """
-    keys = _grain(grain)
+    keys = places(grain)
     spine = DailySpine.of(start, end)
     held = spine.window(stays(t), "start", "end").join(beds(t).select("bed", "site", "floor"), "bed")
     is_open = F.col("end").isNull()
@@ -83,16 +83,19 @@ def occupancy_history(t, start, end, grain: str = "reference") -> DataFrame:
         "open_stays": F.when(is_open, one).otherwise(none),
         "open_since": F.when(is_open, F.col("origin_day").cast("bigint")).otherwise(none),
     }
-    totals = _bed_totals(t)
+    return daily_occupancy(t, steps(held, spine, keys, **amounts), spine, keys)
+
+
+def daily_occupancy(t, changes: DataFrame, spine: DailySpine, keys: list[str], ahead: int = 0) -> DataFrame:
+    """The report from what changes on each day ``k`` of a spine; days of entry are counted from ``ahead`` days before it."""
+    amounts = ["occupied", "closed_days", "open_stays", "open_since"]
+    totals, none = _bed_totals(t), F.lit(0).cast("bigint")
     # Every floor starts at zero, so that days without stays are there as well.
-    blank = totals.select(*keys).distinct().select(
-        *keys, F.lit(0).alias("k"), *[none.alias(a) for a in amounts]
-    )
-    changes = sum_steps(steps(held, spine, keys, **amounts).unionByName(blank), keys, list(amounts))
-    level = running(changes, keys, list(amounts))
+    blank = totals.select(*keys).distinct().select(*keys, F.lit(0).alias("k"), *[none.alias(a) for a in amounts])
+    level = running(sum_steps(changes.unionByName(blank), keys, amounts), keys, amounts)
     rows = totals.join(floors(t), "floor").join(sites(t), "site").join(level, keys)
     daily = spread(rows, spine, ["site", "floor"]).withColumn(
-        "bed_days", F.col("closed_days") + F.col("open_stays") * F.col("k") - F.col("open_since")
+        "bed_days", F.col("closed_days") + F.col("open_stays") * (F.col("k") + ahead) - F.col("open_since")
     )
     return _occupancy_columns(daily, spine.instant("k"))
 
