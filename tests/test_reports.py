@@ -268,6 +268,17 @@ def test_report_orders(t):
     assert factura and factura == sorted(factura)
 
 
+@pytest.mark.parametrize("report, places", [
+    (lambda t: bed_state(t, "01/01/2020 07:00"), (2, 3, 4)),
+    (lambda t: service_followup(t, ORDERS_AS_OF), (4, 5, 9, 1, 2)),
+    (lambda t: daily_census(t, ORDERS_AS_OF), (4, 5, 9, 1, 2)),
+])
+def test_rows_come_in_the_order_of_the_report(t, report, places):
+    """Ascending by the columns at these places, counted from 1, NULLs last."""
+    got = [[(r[i - 1] is None, "" if r[i - 1] is None else r[i - 1]) for i in places] for r in report(t).collect()]
+    assert len(got) > 1 and got == sorted(got)
+
+
 def test_reports_do_not_depend_on_the_session_zone(spark, t):
     zone = spark.conf.get("spark.sql.session.timeZone")
     utc = rows(occupancy(t, ORDERS_AS_OF)), rows(service_followup(t, ORDERS_AS_OF))

@@ -137,6 +137,29 @@ def test_decode_and_text(frame):
     assert values(rows, concat_text(F.lit("<"), "x")) == ["<a", "<", "<c", "<d"]
 
 
+# Labels as the reports print them, written down apart from the code tables.
+PRINTED = {
+    "DOCUMENT_TYPE": [(8, "Número único de identificación"), (14, "Permiso por protección temporal"),
+                      (15, "Documento de identificación extranjero"), (13, None), (16, None)],
+    "PLAN_TYPE": [(13, "ConvenioUCI"), (14, None)],
+    "ADMISSION_ORIGIN": [(8, "Urgencia_Ginecologica"), (11, "Cirugia_Programada"), (13, "Uci_Adulto"), (14, None)],
+    "ADMISSION_CAUSE": [(5, "Odontología"), (8, "Quemados"), (11, "Cirugia_Programada"), (12, None)],
+    "RISK_TYPE": [(8, "Lesión_por_Agresión"), (14, "Accidente_Ofídico"), (17, "Sospecha_de_Maltrato_Emocional"), (-1, None)],
+    "BED_STATE": [(4, "Desbloqueada"), (7, None)],
+    "FILING_STATE": [(-1, "No Registrado"), (2, "Radicado Entidad"), (4, None)],
+    "INVOICE_TYPE": [("16", "Factura_GlobalPFGP"), ("3", None), ("016", None)],
+    "CONSULTATION_TYPE": [(0, "Ninguna"), (1, "General"), (2, "Especializada"), (3, None)],
+    "APPOINTMENT_STATE": [(5, "INATENCION"), (6, None)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(PRINTED))
+def test_labels_read_as_printed(frame, name):
+    kind = "string" if isinstance(PRINTED[name][0][0], str) else "int"
+    rows = frame([(code,) for code, _ in PRINTED[name]], f"code {kind}")
+    assert values(rows, decode("code", getattr(codes, name))) == [label for _, label in PRINTED[name]]
+
+
 def test_last_24_hours_is_closed(frame):
     rows = frame(
         [("2024-01-01 10:00:00",), ("2024-01-01 09:59:59",), ("2024-01-02 10:00:00",), ("2024-01-02 10:00:01",), (None,)],
