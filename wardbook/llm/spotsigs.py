@@ -4,7 +4,7 @@ A spot signature is a common word (the anchor) with the chain of the next
 content words behind it. Common words are spread evenly over prose and rare
 in tables, menus and lists, so the set of these signatures follows a
 document's running text. Texts without common words would have no
-signatures; so words whose hash ends in three zero bits are anchors too.
+signatures; so words whose hash begins with three zero bits are anchors too.
 
 Near copies are found by ``near_sets``: distinct signature sets are
 partitioned by length, so that linked ones lie in one partition or in
