@@ -297,6 +297,76 @@ def test_pii_finds_more_than_the_base(given):
     assert all(s == sorted(s) for s in starts)
 
 
+def planted(texts, seed):
+    """Texts with a made span each, in words the labelers know and in others, whether it is personal data, and where it stands."""
+    rng = np.random.default_rng(seed)
+    digits = lambda n: "".join(str(d) for d in rng.integers(0, 10, n))
+    name = lambda n: "".join(rng.choice(list("abcdefghiklmnoprstuvw"), n))
+
+    def number():
+        d = digits(15)
+        return next(d + str(c) for c in range(10) if not luhn(d + str(c)))
+
+    makers = [
+        (True, "secret", "", lambda: f"password={name(5)}{digits(7)}"),
+        (True, "secret", "with ", lambda: f"api_key: {digits(4)}{name(12)}"),
+        (True, "email", "write to ", lambda: f"{name(6)} [at] {name(7)}.org"),
+        (True, "email", "ask ", lambda: f"{name(4)}.{name(5)}(at){name(5)}(dot)com"),
+        (True, "phone", "call ", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"),
+        (True, "phone", "reach us under ", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}"),
+        (False, "ip", "version ", lambda: f"{rng.integers(1, 9)}.{rng.integers(300, 999)}.{digits(1)}.{rng.integers(256, 999)}"),
+        (False, "ip", "release ", lambda: f"{rng.integers(1, 9)}.{digits(1)}.{rng.integers(256, 999)}.{digits(1)}"),
+        (False, "card", "order no. ", number),
+        (False, "card", "batch ", number),
+    ]
+    out = []
+    for i, text in enumerate(texts):
+        true, kind, before, make = makers[rng.integers(len(makers))]
+        words, span = text.split(" "), make()
+        at = int(rng.integers(len(words) + 1))
+        head = " ".join(words[:at] + [before])
+        out.append((i, head + span + " " + " ".join(words[at:]), true, f"{kind}:{len(head)}:{len(head) + len(span)}"))
+    return out
+
+
+def test_pii_recall_and_precision_of_further_spans(given, docs_of):
+    texts = [r["text"] for r in given("documents", "/root/testdata/sf0.01").orderBy("doc_id").select("text").collect()]
+    made = planted(texts, 8)
+    rows = {r["doc_id"]: r for r in pii.find_pii(docs_of([m[:2] for m in made])).collect()}
+    said = [m[3] in rows[m[0]]["spans"].split(",") for m in made]
+    true = [m[2] for m in made]
+    hits = sum(s and t for s, t in zip(said, true, strict=True))
+    recall, precision = hits / sum(true), hits / sum(said)
+    print("recall", recall, "precision", precision)
+    by_kind = Counter((m[3].split(":")[0], m[2], s) for m, s in zip(made, said, strict=True))
+    assert recall > 0.9 and precision > 0.9, by_kind
+    assert all(r["n_spans"] == len([s for s in r["spans"].split(",") if s]) for r in rows.values())
+
+
+def test_pii_classifier_learns_from_what_no_labeler_sees():
+    # One pattern, two kinds of surroundings with other chances: only the hashed words tell them apart.
+    texts = [f"lorem{i % 7} {'ring' if i % 2 else 'lot'} 555-010-{1000 + i} end" for i in range(400)]
+    spans = [pii.candidates(t)[1][0] for t in texts]
+    assert len({s[3] for s in spans}) == 1
+    features = [pii._features(t, *s[1:]) for t, s in zip(texts, spans, strict=True)]
+    truth = np.array([i % 2 for i in range(400)], dtype=float)
+    weights = pii.train(features[:200], np.ones(200), truth[:200])
+    assert np.mean((pii.scores(features[200:], weights) > 0.5) == truth[200:]) > 0.98
+
+
+def test_pii_sample_is_bounded_and_weighted(given, monkeypatch):
+    df = given("documents", "/root/testdata/sf0.01")
+    whole = {r["doc_id"]: r["spans"] for r in pii.find_pii(df).collect()}
+    fitted = []
+    train = pii.train
+    monkeypatch.setattr(pii, "MAX_OF_PATTERN", 8)
+    monkeypatch.setattr(pii, "train", lambda f, n, c: fitted.append((len(f), n.sum())) or train(f, n, c))
+    few = {r["doc_id"]: r["spans"] for r in pii.find_pii(df).collect()}
+    total = sum(len(s.split(",")) for s in whole.values() if s)
+    assert fitted[0][0] < total / 2 and total / 3 < fitted[0][1] < 3 * total
+    assert np.mean([few[i] == s for i, s in whole.items()]) > 0.97
+
+
 @pytest.mark.parametrize("after", ["", " on page 7", " and me [at] home.org"])
 def test_pii_proposes_secrets_in_texts_without_digits(after):
     text = "log in with password=correct-horse-battery" + after

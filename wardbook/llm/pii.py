@@ -2,17 +2,21 @@
 
 1. Patterns propose spans. Regular expressions, gazetteers and the words in
    front of a span vote yes, no or abstain on each.
-2. Spans with equal kind, votes and shape are counted over all documents;
-   there are at most a few thousand such patterns, whatever the input. On
-   these counts expectation maximisation estimates how far each labeler can
-   be trusted, and gives every pattern the chance that it is personal data.
-3. A logistic model trained on all patterns, weighted by their counts, decides.
+2. Spans with equal kind, votes and length class are counted over all
+   documents; there are at most a few thousand such patterns, whatever the
+   input. On these counts expectation maximisation estimates how far each
+   labeler can be trusted, and gives every pattern the chance that it is
+   personal data.
+3. A logistic model decides. Besides the votes it sees what no labeler looks
+   at: the span's run of signs and the words and signs around it, hashed. It
+   is fitted to the estimated chances, on a bounded sample of the spans.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 from itertools import accumulate
 
@@ -53,6 +57,13 @@ _REACH = 32
 
 VOTES = ("strict", "check", "gazetteer", "cue", "against", "shape")
 
+# Places of the classifier's weights; features meet there by hash.
+WIDTH = 1 << 12
+# So many spans, all different, the classifier is fitted on at most, about, and of one pattern.
+MAX_SPANS, MAX_OF_PATTERN = 50_000, 1_000
+_SIGNS = ((re.compile("[0-9]+"), "9"), (re.compile("[A-Z]+"), "A"), (re.compile("[a-z]+"), "a"), (re.compile(r"[^\x00-\x7F]+"), "é"))
+_WORD = re.compile(r"[^\W_]+")
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -171,6 +182,31 @@ def _votes(text: str, kind: str, start: int, end: int, strict: bool) -> str:
     return f"{kind}|{''.join(votes)}|{min(3, len(span) // 8)}"
 
 
+def _features(text: str, start: int, end: int, pattern: str) -> str:
+    """Places of a span's features, four hexadecimal digits each, in order.
+
+    Votes and length class are among them by name. The others are the runs of
+    signs inside (its first 24 runs, and each three in a row of these), the
+    sign at either end, and the words around, whole or as they are cut by
+    ``_REACH``.
+    """
+    kind, votes, length = pattern.split("|")
+    found = [f"length {length}", *[f"{v} {c}" for v, c in zip(VOTES, votes, strict=True)]]
+    runs = text[start : min(end, start + 256)]
+    for signs, name in _SIGNS:
+        runs = signs.sub(name, runs)
+    runs = runs[:24]
+    found += [f"runs {runs}", *[f"in {runs[i : i + 3]}" for i in range(len(runs) - 2)]]
+    ahead, behind = text[max(0, start - _REACH) : start], text[end : end + _REACH]
+    found += [f"before {ahead[-1:]}", f"after {behind[:1]}"]
+    words = [w.lower() for w in _WORD.findall(ahead)][-2:]
+    found += [f"ahead {w}" for w in words] + [f"next ahead {w}" for w in words[-1:]]
+    found += [f"behind {w.lower()}" for w in _WORD.findall(behind)[:1]]
+    places = {zlib.crc32(f"{kind} {f}".encode("utf-8", "replace")) % WIDTH for f in found}
+    places |= {zlib.crc32(f.encode()) % WIDTH for f in found[1 : 1 + len(VOTES)]} | {zlib.crc32(kind.encode()) % WIDTH}
+    return "".join(f"{x:04x}" for x in sorted(places))
+
+
 def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, str]]]:
     """Base spans, and further proposed spans with their pattern.
 
@@ -181,7 +217,7 @@ def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     for kind, start, end, holds in base_spans(text):
         if holds:
             base.append((kind, start, end))
-        elif kind != "card" or end - start >= 12:
+        elif kind != "card" or (end - start >= 12 and len(_digits(text[start:end])) >= 12):
             more.append((kind, start, end, False))
     more += [("email", start, end, False) for start, end in spelt_emails(text)]
     for kind, pattern in _LOOSE:
@@ -205,7 +241,7 @@ def _spans_text(spans) -> str:
 
 _FOUND = (
     "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, more string, "
-    "patterns string"
+    "tallies string"
 )
 
 
@@ -215,14 +251,15 @@ def _found(texts: pd.Series) -> pd.DataFrame:
         text = text or ""
         base, more = candidates(text)
         listed = _spans_text(base)
-        patterns = [_votes(text, *b, True) for b in base] + [m[3] for m in more]
+        votes = [(s, e, _votes(text, k, s, e, True)) for k, s, e in base] + [m[1:] for m in more]
+        tallies = [f"{p}/{_features(text, s, e, p)}" for s, e, p in votes]
         rows.append(
             (
                 *[sum(b[0] == kind for b in base) for kind in KINDS],
                 hashlib.sha256(listed.encode()).hexdigest(),
                 listed,
-                ",".join(f"{k}:{s}:{e}:{p}" for k, s, e, p in more),
-                ",".join(patterns),
+                ",".join(f"{k}:{s}:{e}:{t.partition('/')[2]}" for (k, s, e, _), t in zip(more, tallies[len(base) :], strict=True)),
+                ",".join(tallies),
             )
         )
     return pd.DataFrame(rows, columns=[c.split()[0] for c in _FOUND.split(", ")])
@@ -250,27 +287,71 @@ def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 50) -> np.nd
     return chance
 
 
-def train(patterns: list[str], counts: np.ndarray, chance: np.ndarray, steps: int = 400) -> np.ndarray:
-    """Score of each pattern by a logistic model of kind, votes and length class, fitted to the estimated chances."""
-    names: dict[str, int] = {}
-    rows = []
-    for p in patterns:
-        kind, votes, length = p.split("|")
-        on = [f"kind {kind}", f"{kind} length {length}", *[f"{kind} {v} {c}" for v, c in zip(VOTES, votes, strict=True)], *[f"{v} {c}" for v, c in zip(VOTES, votes, strict=True)]]
-        rows.append([names.setdefault(f, len(names)) for f in on])
-    x = np.zeros((len(patterns), len(names)))
-    for i, on in enumerate(rows):
-        x[i, on] = 1
+def _places(features: list[str]) -> np.ndarray:
+    """Places of each span's features, a row each, filled up with the place behind the last one."""
+    rows = [np.frombuffer(bytes.fromhex(f), ">u2") for f in features]
+    out = np.full((len(rows), max(map(len, rows), default=0)), WIDTH, dtype=np.int64)
+    for i, row in enumerate(rows):
+        out[i, : len(row)] = row
+    return out
+
+
+def scores(features: list[str], weights: np.ndarray) -> np.ndarray:
+    """The classifier's chance that each span is personal data."""
+    return 1 / (1 + np.exp(-np.clip(weights[_places(features)].sum(axis=1), -50, 50)))
+
+
+def train(features: list[str], counts: np.ndarray, chance: np.ndarray, steps: int = 300) -> np.ndarray:
+    """Weights of a logistic model of the spans' features, fitted to the estimated chances.
+
+    Each of the features' places has its own step length, by the gradients it has had.
+    """
+    places = _places(features)
     weight = counts / counts.sum()
-    beta = np.zeros(x.shape[1])
+    beta, past = np.zeros(WIDTH + 1), np.full(WIDTH + 1, 1e-8)
     for _ in range(steps):
-        score = 1 / (1 + np.exp(-x @ beta))
-        beta -= 2.0 * (x.T @ (weight * (score - chance)) + 1e-4 * beta)
-    return 1 / (1 + np.exp(-x @ beta))
+        miss = weight * (1 / (1 + np.exp(-np.clip(beta[places].sum(axis=1), -50, 50))) - chance)
+        slope = np.bincount(places.ravel(), np.repeat(miss, places.shape[1]), minlength=WIDTH + 1) + 1e-4 * beta
+        slope[WIDTH] = 0
+        past += slope * slope
+        beta -= 0.3 * slope / np.sqrt(past)
+    return beta
+
+
+def _fitted(rows: DataFrame) -> np.ndarray | None:
+    """The classifier's weights; none if no text holds a span.
+
+    All spans are counted. Of a pattern's different spans, those whose hash
+    falls below the pattern's share are fitted, each standing for as many as
+    it is its share of.
+    """
+    tallies = settled(
+        rows.filter(F.col("tallies") != "")
+        .select(F.explode(F.split("tallies", ",")).alias("tally"))
+        .groupBy("tally")
+        .count()
+        .select(F.split_part("tally", F.lit("/"), F.lit(1)).alias("pattern"), F.split_part("tally", F.lit("/"), F.lit(2)).alias("features"), "count")
+    )
+    # At most 5 kinds x 3^6 votes x 4 lengths.
+    counted = tallies.groupBy("pattern").agg(F.sum("count").alias("n"), F.count("*").alias("different")).orderBy("pattern").collect()
+    if not counted:
+        return None
+    chance = estimate([r["pattern"] for r in counted], np.array([r["n"] for r in counted], dtype=float))
+    most = min(MAX_OF_PATTERN, max(1, MAX_SPANS // len(counted)))
+    known = [(r["pattern"], float(c), min(1.0, most / r["different"])) for r, c in zip(counted, chance, strict=True)]
+    told = rows.sparkSession.createDataFrame(known, "pattern string, chance double, share double")
+    place = (F.xxhash64("pattern", "features").bitwiseAND(F.lit((1 << 30) - 1)) + 0.5) / float(1 << 30)
+    sample = tallies.join(F.broadcast(told), "pattern").filter(place < F.col("share")).collect()
+    sample.sort(key=lambda r: (r["pattern"], r["features"]))
+    return train(
+        [r["features"] for r in sample],
+        np.array([r["count"] / r["share"] for r in sample]),
+        np.array([r["chance"] for r in sample]),
+    )
 
 
 def find_pii(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """One row per document with counts of base spans, their digest and all spans.
+    """One row per document with counts of base spans, their digest, all spans and the number of these.
 
     Spans read kind:start:end in code points, the end exclusive. Base spans
     stay whatever the model says; others join where it gives ``least`` or
@@ -278,31 +359,18 @@ def find_pii(docs: DataFrame, least: float = 0.5) -> DataFrame:
     one by one, an empty table gives no rows. Only doc_id and text are read.
     """
     rows = settled(docs.select("doc_id", F.pandas_udf(_found, _FOUND)("text").alias("f")).select("doc_id", "f.*"))
-    counted = (
-        rows.filter(F.col("patterns") != "")
-        .select(F.explode(F.split("patterns", ",")).alias("pattern"))
-        .groupBy("pattern")
-        .count()
-        .collect()  # at most 5 kinds x 3^6 votes x 4 lengths
-    )
-    counted.sort(key=lambda r: r["pattern"])
-    accepted = set()
-    if counted:
-        patterns = [r["pattern"] for r in counted]
-        counts = np.array([r["count"] for r in counted], dtype=float)
-        scores = train(patterns, counts, estimate(patterns, counts))
-        accepted = {p for p, s in zip(patterns, scores, strict=True) if s >= least}
-
-    @F.pandas_udf("string")
-    def spans(base: pd.Series, more: pd.Series) -> pd.Series:
+    weights = _fitted(rows)
+
+    @F.pandas_udf("spans string, n_spans long")
+    def spans(base: pd.Series, more: pd.Series) -> pd.DataFrame:
         out = []
         for own, extra in zip(base, more, strict=True):
-            kept = [m.split(":") for m in extra.split(",") if m and m.split(":")[3] in accepted]
-            if not kept:
-                out.append(own)
-                continue
-            listed = [x.split(":") for x in own.split(",") if x] + kept
-            out.append(_spans_text([(x[0], int(x[1]), int(x[2])) for x in listed]))
-        return pd.Series(out, dtype=object)
-
-    return rows.withColumn("spans", spans("base", "more")).drop("base", "more", "patterns")
+            listed = [x.split(":") for x in own.split(",") if x]
+            if extra:
+                proposed = [x.split(":") for x in extra.split(",")]
+                found = scores([x[3] for x in proposed], weights)
+                listed += [x for x, score in zip(proposed, found, strict=True) if score >= least]
+            out.append((_spans_text([(x[0], int(x[1]), int(x[2])) for x in listed]), len(listed)))
+        return pd.DataFrame(out, columns=["spans", "n_spans"])
+
+    return rows.withColumn("s", spans("base", "more")).select("*", "s.*").drop("base", "more", "tallies", "s")
