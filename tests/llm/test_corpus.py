@@ -218,6 +218,19 @@ def test_join_near_the_limit(docs_of, seed, monkeypatch):
     assert len({c for _, _, c in expected}) < len(docs)
 
 
+@pytest.mark.parametrize("bits", [1, 9])
+def test_join_of_sets_with_equal_ids(given, docs_of, monkeypatch, bits):
+    monkeypatch.setattr(jaccard, "ID_BITS", bits)
+    rows = [(r["doc_id"], r["text"]) for r in given("documents").select("doc_id", "text").collect()]
+    words = rows[3][1].split()
+    near = [" ".join([*words[:i], "other", *words[i + 1 :]]) for i in range(0, len(words), 9)]
+    rows += [(10_000 + i, t) for i, t in enumerate(near)] + [(20_000, None), (20_001, " "), (20_002, rows[5][1]), (None, rows[7][1])]
+    found = jaccard.join_documents(docs_of(rows)).collect()
+    assert ordered(map(tuple, found)) == ordered(plain_join(rows))
+    left = jaccard.one_of_each(docs_of(rows)).select("doc_id").collect()
+    assert len(left) == len({r["component_id"] for r in found})
+
+
 def test_join_edges(edges, nothing):
     texts = [(r["doc_id"], r["text"]) for r in edges.select("doc_id", "text").collect()]
     assert ordered(map(tuple, jaccard.join_documents(edges).collect())) == ordered(plain_join(texts))

@@ -18,6 +18,8 @@ shares many lists is made in the first of them.
 from __future__ import annotations
 
 import struct
+from functools import partial
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -35,8 +37,7 @@ LONG = 64
 SKETCH = 16  # words of 64 bits
 # So many names of a set's lists, the smallest, tell in which list it meets another set first.
 LOW = 16
-# Up to this many ids go to every task.
-FEW = 1_000_000
+ID_BITS = 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -109,8 +110,8 @@ def index_entries(tokens: np.ndarray, number: int, high: int) -> tuple[np.ndarra
     return names, equal - empty
 
 
-def set_id(tokens: np.ndarray) -> int:
-    return int(np.frombuffer(xxhash.xxh3_64_digest(tokens.tobytes()), dtype=np.int64)[0])
+def set_id(tokens: np.ndarray, bits: int = ID_BITS) -> int:
+    return int(np.frombuffer(xxhash.xxh3_64_digest(tokens.tobytes()), dtype=np.int64)[0]) >> (64 - bits)
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
@@ -178,14 +179,14 @@ _ENTRIES = pa.schema([("name", pa.int64()), ("id", pa.int64()), ("role", pa.int3
 _ABOUT = struct.Struct(f"<?qq16sq{8 * SKETCH}s")
 
 
-def _entries(batches):
+def _entries(bits, batches):
     """Index entries of each set, and a row about each document; copies met again by one task make no more entries."""
     words, classes, seen = _Words(), _Classes(), set()
     for batch in batches:
         names, ids, roles, about = [], [], [], []
         for doc_id, place, text in _pieces(batch, ("doc_id", "place", "text")):
             tokens = shingles(text, words)
-            own = set_id(tokens)
+            own = set_id(tokens, bits)
             if len(tokens):
                 found = [index_entries(tokens, *c) for c in classes.of(len(tokens))]
                 if own not in seen:
@@ -294,11 +295,11 @@ def _side(sets: DataFrame, name: str) -> DataFrame:
 
 
 def _tokens(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The shingles of the wanted sets, made again from the first document of each."""
-    first = wanted.join(sets, "id").select("first.doc_id", "first.place", "id")
-    first = settled(first)
-    if first.count() <= FEW:
-        first = F.broadcast(first)
+    """The shingles of the wanted sets, made again from the first document of each.
+
+    Which documents these are is read from files, so Spark knows its size.
+    """
+    first = settled(wanted.join(sets, "id").select("first.doc_id", "first.place", "id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", F.xxhash64("text"))
     found = texts.join(
         first.select(F.col("doc_id").alias("_doc_id"), F.col("place").alias("_place"), "id"),
@@ -376,27 +377,69 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every document with the id of its set, and the component of each set that is linked to others."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("place"), "text")
-    entries = texts.mapInArrow(lean(_entries), "name long, id long, role int, about binary")
-    found = entries.repartition("name").sortWithinPartitions("name", "id").mapInArrow(
-        lean(_lists), "name long, leader long, id long, role int, about binary"
-    )
-    found = settled(found)
-    members = settled(found.filter("about is not null").select("id", "about").mapInArrow(lean(_members), _SETS_SQL))
-    lists = found.filter("about is null").drop("about")
-    sets = settled(
+def _sets(members: DataFrame) -> DataFrame:
+    """One row per id, with its first document and the lowest and highest check of the sets that have it."""
+    return settled(
         members.filter("n > 0")
         .groupBy("id")
         .agg(
-            F.min(F.struct("doc_id", "place")).alias("first"),
+            F.min(F.struct("doc_id", "place")).alias("first"), F.min("doc_id").alias("lowest"),
             F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"),
             F.min("check").alias("low"), F.max("check").alias("high"),
         )
     )
+
+
+def _told_apart(members: DataFrame, sets: DataFrame, twice: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members and sets with an id of its own for each set of the ids ``twice``, and these new ids."""
+    shared = twice.withColumn("shared", F.lit(True))
+    for salt in count():
+        new = F.when(F.col("shared"), F.xxhash64(F.lit(salt), "check")).otherwise(F.col("id"))
+        renamed = settled(members.join(shared, "id", "left").withColumn("id", new))
+        told = _sets(renamed)
+        if told.filter("low != high").isEmpty():
+            alone = settled(renamed.filter("shared and n > 0").select("id").distinct())
+            return renamed.select(members.columns), told, alone
+
+
+def _size_class() -> Column:
+    """Linked sets are at most two of these classes apart, whatever way the logarithm is rounded."""
+    return F.floor(F.log("n") / F.log(F.lit(100 / LEAST))).cast("int")
+
+
+def _against_all(some: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of the sets ``some`` with any set that could be linked to them, by sizes and sketches alone."""
+    near = F.explode(F.transform(F.array(*[F.lit(i) for i in range(-2, 3)]), lambda i: F.col("class") + i))
+    classed = sets.withColumn("class", _size_class())
+    shape = ("id", "n", "sketch")
+    a = settled(classed.join(some, "id", "left_semi").select(near.alias("class"), *[F.col(c).alias(f"a_{c}") for c in shape]))
+    b = classed.select("class", *[F.col(c).alias(f"b_{c}") for c in shape])
+    both = a.join(b, "class").withColumnsRenamed({"a_id": "a", "b_id": "b"})
+    return both.filter(F.col("a") != F.col("b")).filter(_possible()).select("a", "b", "a_n", "b_n")
+
+
+def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every document with the id of its set, every set, and the component of each set that is linked to others.
+
+    Ids have 64 bits. Sets that have one id by chance, told by a digest of 128
+    bits, get ids of their own, leave the lists, where one can't be told from
+    the other, and are compared with all sets of their size: of n sets these
+    are about n * n / 2 ** 64.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("place"), "text")
+    entries = texts.mapInArrow(lean(partial(_entries, ID_BITS)), "name long, id long, role int, about binary")
+    found = entries.repartition("name").sortWithinPartitions("name", "id").mapInArrow(
+        lean(_lists), "name long, leader long, id long, role int, about binary"
+    )
+    found = settled(found)
+    members = settled(found.filter("about is not null").select("id", "about").mapInArrow(lean(_members), _SETS_SQL))
+    lists = found.filter("about is null").drop("about")
+    sets, alone = _sets(members), None
     if not sets.filter("low != high").isEmpty():
-        raise ValueError("two sets have one 64-bit id")
+        twice = settled(sets.filter("low != high").select("id"))
+        members, sets, alone = _told_apart(members, sets, twice)
+        lists = lists.join(twice, "id", "left_anti").drop("leader")
+        lists = settled(lists.join(lists.groupBy("name").agg(F.min("id").alias("leader")), "name"))
     # Each set against the leader that it meets most often.
     met = lists.filter("id != leader").groupBy("id", "leader").agg(F.count("*").alias("times"))
     best = met.groupBy(F.col("id").alias("b")).agg(F.max_by("leader", F.struct("times", "leader")).alias("a"))
@@ -426,10 +469,13 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     new = F.col("a_component") != F.col("b_component")
     once = (F.col("b_component") == F.col("main")) | (F.col("a_id") < F.col("b_id"))
     pairs = a.join(b, "name").filter(new & once & _possible() & _meet_first())
-    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_n", "b_n").distinct()
+    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_n", "b_n")
+    if alone is not None:
+        pairs = pairs.unionByName(_against_all(alone, sets))
+    pairs = pairs.distinct()
     more = _compared(docs, sets, _derived(pairs, answers))
     links = links.unionByName(more.filter(_linked(F.col("overlap"))).select("a", "b"))
-    return members, components(settled(links))
+    return members, sets, components(settled(links))
 
 
 def _derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
@@ -457,10 +503,12 @@ def join_documents(docs: DataFrame) -> DataFrame:
     unless there is no other; rows with equal ids are documents of their own.
     An empty table gives no rows. Only doc_id and text are read.
     """
-    members, labels = link_sets(docs)
-    rows = _labelled(members.filter("n > 0").select("doc_id", "n", "id"), labels)
-    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = rows.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    members, sets, labels = link_sets(docs)
+    # Components are named set by set: one may hold a large share of all documents, as copies of a few sets.
+    rows = _labelled(sets.select("id", "lowest"), labels)
+    smallest = rows.groupBy("component").agg(F.min("lowest").alias("component_id"))
+    names = rows.join(smallest, "component").select("id", "component_id")
+    named = members.filter("n > 0").join(names, "id").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return named.unionByName(empty)
 
@@ -473,7 +521,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     hash; if no row of a component has an id, the one with the lowest hash.
     Of equal rows one stays.
     """
-    members, labels = link_sets(docs)
+    members, _, labels = link_sets(docs)
     rows = _labelled(members.filter("n > 0").select("doc_id", "place", "id"), labels)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("place").alias("place"))
     kept = rows.groupBy("component").agg(F.min(order).alias("o")).select("o")
