@@ -218,7 +218,7 @@ def test_join_near_the_limit(docs_of, seed, monkeypatch):
     assert len({c for _, _, c in expected}) < len(docs)
 
 
-@pytest.mark.parametrize("bits", [1, 9])
+@pytest.mark.parametrize("bits", [1, 7])
 def test_join_of_sets_with_equal_ids(given, docs_of, monkeypatch, bits):
     monkeypatch.setattr(jaccard, "ID_BITS", bits)
     rows = [(r["doc_id"], r["text"]) for r in given("documents").select("doc_id", "text").collect()]
