@@ -231,6 +231,27 @@ def test_join_of_sets_with_equal_ids(given, docs_of, monkeypatch, bits):
     assert len(left) == len({r["component_id"] for r in found})
 
 
+def test_join_shuffles_few_texts_that_are_not_read_again(spark, docs_of, monkeypatch):
+    places = docs_of([(i, f"text {i % 3000}") for i in range(4000)] + [(None, None)]).withColumn("place", F.xxhash64("text"))
+    first = places.filter("doc_id % 100 = 3 or doc_id is null").select("doc_id", "place")
+    wanted = {r["place"] for r in first.collect()}
+    for bits in (jaccard.MOST_BITS, 1 << 15):
+        monkeypatch.setattr(jaccard, "MOST_BITS", bits)
+        found = jaccard._maybe(places, first)
+        assert found.columns == places.columns
+        rows = found.collect()
+        assert sum(r["place"] in wanted for r in rows) == sum(r["place"] in wanted for r in places.collect())
+        assert sum(r["place"] not in wanted for r in rows) < 100
+    assert jaccard._maybe(places, first.filter("false")).collect() == []
+
+
+def test_lists_with_the_same_members_are_compared_once(spark):
+    rows = [(name, i, 5 if i == 6 else i) for name in range(30) for i in (5, 6, 7)]
+    rows += [(100, 5, 5), (100, 6, 5), (101, 5, 5), (101, 7, 7), (102, 5, 5), (102, 7, 7), (103, 6, 5), (103, 7, 7)]
+    found = jaccard._main_parts(spark.createDataFrame(rows, "name long, id long, component long")).collect()
+    assert {r["name"]: r["main"] for r in found} == {0: 5, 101: 7, 103: 7}
+
+
 def test_join_edges(edges, nothing):
     texts = [(r["doc_id"], r["text"]) for r in edges.select("doc_id", "text").collect()]
     assert ordered(map(tuple, jaccard.join_documents(edges).collect())) == ordered(plain_join(texts))

@@ -38,6 +38,8 @@ SKETCH = 16  # words of 64 bits
 # So many names of a set's lists, the smallest, tell in which list it meets another set first.
 LOW = 16
 ID_BITS = 64
+# Bits at most, 8 MB, of the bitmap that tells which texts are read again.
+MOST_BITS = 1 << 26
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -294,14 +296,33 @@ def _side(sets: DataFrame, name: str) -> DataFrame:
     return sets.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
 
 
+def _maybe(texts: DataFrame, first: DataFrame) -> DataFrame:
+    """The texts with a ``place`` that is in ``first``, and some others that meet one in a bitmap of the places.
+
+    While there are no more than ``MOST_BITS`` / 64 places, two in a hundred others pass.
+    """
+    bits = min(MOST_BITS, max(1 << 15, 1 << (64 * first.count()).bit_length()))
+    spot = F.col("place").bitwiseAND(F.lit(bits - 1))
+    marks = first.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_marks")
+    )
+    at = F.bitmap_bit_position(spot).cast("int")
+    byte = F.conv(F.hex(F.substring("_marks", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1
+    near = texts.join(F.broadcast(marks), (F.bitmap_bucket_number(spot) == F.col("_bucket")) & marked)
+    return near.drop("_bucket", "_marks")
+
+
 def _tokens(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """The shingles of the wanted sets, made again from the first document of each.
 
     Which documents these are is read from files, so Spark knows its size.
+    Where they are too many to be broadcast, only texts that a bitmap lets
+    pass are shuffled.
     """
     first = settled(wanted.join(sets, "id").select("first.doc_id", "first.place", "id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", F.xxhash64("text"))
-    found = texts.join(
+    found = _maybe(texts, first).join(
         first.select(F.col("doc_id").alias("_doc_id"), F.col("place").alias("_place"), "id"),
         F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("place") == F.col("_place")),
     )
@@ -418,6 +439,26 @@ def _against_all(some: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(F.col("a") != F.col("b")).filter(_possible()).select("a", "b", "a_n", "b_n")
 
 
+def _main_parts(members: DataFrame) -> DataFrame:
+    """Lists whose members, rows (name, id, component), are in two components or more, with the largest of these as ``main``.
+
+    Of lists with the same members, told by 128 bits and their number, the one
+    with the lowest name is kept: the others make the same pairs. Two sets
+    that are alike in many blocks share many such lists.
+    """
+    parts = members.groupBy("name", "component").agg(
+        F.count("*").alias("k"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"),
+    )
+    lists = parts.groupBy("name").agg(
+        F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts"),
+        F.sum("k").alias("length"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"),
+    ).filter("parts > 1")
+    first = lists.groupBy("x", "y", "length").agg(F.min(F.struct("name", "main")).alias("first"))
+    return first.select("first.name", "first.main")
+
+
 def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Every document with the id of its set, every set, and the component of each set that is linked to others.
 
@@ -455,10 +496,7 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     times = F.count("*").over(Window.partitionBy("id", "role"))
     long_ = sized.filter(F.col("length") > LONG).withColumn("times", times).filter("times >= role div 2")
     open_ = sized.filter(F.col("length") <= LONG).unionByName(long_.drop("times"))
-    parts = open_.groupBy("name", "component").agg(F.count("*").alias("k"))
-    largest = parts.groupBy("name").agg(
-        F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")
-    ).filter("parts > 1").select("name", "main")
+    largest = _main_parts(open_)
     own = Window.partitionBy("id")
     low = F.when(F.row_number().over(own.orderBy("name")) <= LOW, F.col("name"))
     rows = open_.join(largest, "name").withColumn("low", low).withColumn("low", F.collect_list("low").over(own))
