@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions import codes as k
 from wardbook.functions.scalars import decode, percent, site_short_name, whole_days
-from wardbook.operators.intervals import DailySpine, InstantSpine, active_at, active_at_each, active_daily, attribute_events
+from wardbook.operators.intervals import DailySpine, InstantSpine, active_at, active_at_each, attribute_events, count_daily
 from wardbook.operators.joins import count_per, fan_out_left, having, latest_version, weighted
 from wardbook.operators.sets import ordered, union_all, union_distinct
 from wardbook.plans import emergency as er, services as srv, unbilled
@@ -33,8 +33,7 @@ def _snowflake(c):
 
 def _daily_stays(c):
     spine = DailySpine.of(START_DAY, END_DAY, "07:00:00")
-    held = active_daily(stays(c.t), spine, as_of=ORDERS_AS_OF)
-    return held.groupBy("at", "bed").agg(F.count("*").alias("stays"))
+    return count_daily(stays(c.t), spine, ["bed"], "stays", as_of=ORDERS_AS_OF)
 
 
 def _services_and_stays(c, how):

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks import CHECKS
 from wardbook.operators.intervals import (
     DailySpine,
     InstantSpine,
@@ -12,6 +13,7 @@ from wardbook.operators.intervals import (
     active_at_each,
     active_daily,
     attribute_events,
+    count_daily,
     date_spine,
     running,
     slot,
@@ -75,6 +77,23 @@ def test_daily_pairs_equal_comparing_everything(frame, as_of, time):
     assert Counter((r.stay, r.at) for r in got) == want
 
 
+@pytest.mark.parametrize("as_of", [None, AS_OF])
+def test_daily_counts_equal_counted_pairs(frame, as_of):
+    stays = frame(as_rows(random_stays(300, seed=11) + random_stays(40, seed=12)), SCHEMA)
+    spine = DailySpine.of("2020-01-01", "2020-02-20", "07:00:00")
+    pairs = active_daily(stays, spine, as_of=text(as_of)).groupBy("at", "key").count()
+    counted = count_daily(stays, spine, ["key"], "n", as_of=text(as_of))
+    assert counted.columns == ["at", "key", "n"]
+    assert sorted(map(str, map(tuple, counted.collect()))) == sorted(map(str, map(tuple, pairs.collect())))
+
+
+def test_daily_stays_per_bed_sum_up_no_days(spark):
+    """What is summed before the shuffle is a stay's two changes, not its days."""
+    plan = CHECKS["j7_stay_as_of"].query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Aggregate [") :]
+    assert "sequence(" not in below and "sequence(" in plan
+
+
 def instants(kind):
     if kind == "hourly":
         return InstantSpine.every("2020-01-01 00:30:00", "2020-01-20 12:00:00", timedelta(hours=1))

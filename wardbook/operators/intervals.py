@@ -241,6 +241,19 @@ def spread(totals: DataFrame, spine: DailySpine, keys: list[str]) -> DataFrame:
     ).drop("until")
 
 
+def count_daily(df: DataFrame, spine: DailySpine, keys: list[str], name: str, start="start", end="end", as_of=None) -> DataFrame:
+    """How many intervals of a key hold at each spine instant, both ends included, as ``name``; no row where none does.
+
+    The same as counting the rows of ``active_daily`` by key and ``at``. But
+    what a task sums up are two changes per interval at most, not one entry
+    for each key and day it meets, of which there are many more.
+    """
+    closed = _col(end) if as_of is None else F.coalesce(_col(end), instant(as_of))
+    changes = steps(spine.window(df, start, closed), spine, keys, **{name: F.lit(1)})
+    totals = spread(running(changes, keys, [name]), spine, keys).filter(F.col(name) > 0)
+    return totals.select(spine.instant("k").alias("at"), *keys, name)
+
+
 def sorted_by_day(df: DataFrame, spine: DailySpine, *columns: str) -> DataFrame:
     """Sort by the spine day ``k`` and then by ``columns``, NULLs last.
 
